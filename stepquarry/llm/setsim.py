@@ -1,0 +1,222 @@
+"""Exact set-similarity candidates by rarest-first prefixes, in bands of size.
+
+Every record is a set of 64-bit token hashes. Tokens get one global order,
+rarest first, from a histogram of token counts over all records; the histogram
+has ``2**HIST_BITS`` counters whatever the corpus, so it may be broadcast. Any
+total order is right, the counts only decide how selective it is.
+
+Two records can reach the threshold only if the first token they share, in that
+order, lies in a prefix of either whose length depends on the partner's weight.
+Records are therefore banded by weight (unit weights: by size), and a record
+writes one posting for each token of the prefix that a given partner band
+allows. An equi-join on (token, own band, partner band) then meets every true
+pair; the weight left from the shared token on, and for unit weights a 256-bit
+parity map of the set, drop nearly all other pairs inside the join.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HIST_BITS = 20
+_MASK = (1 << HIST_BITS) - 1
+_RATIO = math.log(1.12)
+_EPS = 1e-9
+POSTING = "sig long, own int, oth int, gid long, weight double, suf double, bits boolean, b0 long, b1 long, b2 long, b3 long"
+
+
+@dataclass
+class Order:
+    """Token counts by bucket, shared with the executors, and the number of records."""
+
+    counts: object  # Broadcast of a numpy array
+    records: int
+    weighting: str = "unit"
+    _idf: np.ndarray | None = field(default=None, repr=False)
+
+    def weights(self, tokens: np.ndarray) -> np.ndarray:
+        """Squared term weights: 1, or the squared smoothed inverse document frequency."""
+        if self.weighting == "unit":
+            return np.ones(len(tokens))
+        df = self.counts.value[tokens & _MASK]
+        return np.log(1.0 + self.records / np.maximum(df, 1)) ** 2
+
+    def arrange(self, tokens: np.ndarray) -> np.ndarray:
+        """The tokens, rarest first."""
+        return tokens[np.lexsort((tokens, self.counts.value[tokens & _MASK]))]
+
+
+def token_order(sets: DataFrame, column: str, weighting: str = "unit") -> Order:
+    """Count the tokens of all records in buckets; one shuffle of at most 2**HIST_BITS rows a task."""
+    spark = sets.sparkSession
+    rows = (
+        sets.select(F.explode(column).alias("t"))
+        .groupBy(F.col("t").bitwiseAND(F.lit(_MASK)).cast("int").alias("b"))
+        .agg(F.count("*").alias("n"))
+        .toPandas()
+    )
+    counts = np.zeros(1 << HIST_BITS, np.int64)
+    counts[rows["b"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    n = sets.count() if weighting != "unit" else 0
+    return Order(spark.sparkContext.broadcast(counts), n, weighting)
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Jaccard or cosine similarity of at least ``t``; ``t`` as a float."""
+
+    kind: str
+    t: float
+
+    def reach(self, w: float) -> tuple[float, float]:
+        """Least and greatest weight of a partner."""
+        f = self.t if self.kind == "jaccard" else self.t**2
+        return w * f * (1 - _EPS), w / f * (1 + _EPS)
+
+    def need(self, w: float, least: float) -> float:
+        """Least common weight with any partner of weight ``least`` or more."""
+        if self.kind == "jaccard":
+            return self.t / (1 + self.t) * (w + least) - _EPS * w
+        # the residual norm alone allows no less than t**2 * w, the partner's greatest weight t * sqrt(w * least)
+        return max(self.t * math.sqrt(w * least), self.t**2 * w) - _EPS * w
+
+    def need_column(self, w: Column, v: Column) -> Column:
+        if self.kind == "jaccard":
+            return F.lit(self.t / (1 + self.t)) * (w + v) - F.lit(_EPS) * w
+        return F.lit(self.t) * F.sqrt(w * v) - F.lit(_EPS) * w
+
+
+def band(w: float) -> int:
+    return math.floor(math.log(w) / _RATIO)
+
+
+def _mixed(tokens: np.ndarray, first: int, second: int, family: int) -> np.ndarray:
+    salt = (first * 0x9E3779B97F4A7C15 + second * 0xC2B2AE3D27D4EB4F + family * 0x165667B19E3779F9) & 0xFFFFFFFFFFFFFFFF
+    x = tokens.view(np.uint64) ^ np.uint64(salt)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return (x ^ (x >> np.uint64(28))).view(np.int64)
+
+
+def parity_map(tokens: np.ndarray) -> np.ndarray:
+    """256 bits, each the parity of the tokens that fall on it; as four signed words."""
+    bits = np.bincount((tokens >> np.int64(24)) & 255, minlength=256) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family: int = 0) -> DataFrame:
+    """Posting rows of ``sets`` (gid, toks, and where grouped bits, weight, b0..b3).
+
+    ``side`` is "self" where the set is joined with itself, "a" or "b" where two
+    sets meet. ``toks`` may hold just the prefix if the columns ``weight`` and
+    b0..b3 are given. Records without tokens have no postings: their similarity is 0.
+    """
+    given = "weight" in sets.columns
+    names = ["gid", "toks", *(["weight", "bits", "b0", "b1", "b2", "b3"] if given else [])]
+    plans: dict[float, list[tuple[int, float]]] = {}
+
+    def allowed(w: float) -> list[tuple[int, float]]:
+        if w not in plans:
+            lo, hi = measure.reach(w)
+            rows = []
+            for k in range(band(lo), band(hi) + 1):
+                least = max(math.exp(k * _RATIO) * (1 - _EPS), lo)
+                rows.append((k, measure.need(w, least)))
+            if len(plans) > 100_000:
+                plans.clear()
+            plans[w] = rows
+        return plans[w]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gids = batch.column(0).to_numpy(zero_copy_only=False)
+            lists = batch.column(1)
+            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            extra = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)]
+            out: list[list] = [[] for _ in range(11)]
+            held = 0
+            for i in range(len(gids)):
+                toks = values[offsets[i] : offsets[i + 1]]
+                if not len(toks):
+                    continue
+                if given:
+                    w, known, words = float(extra[0][i]), bool(extra[1][i]), [e[i] for e in extra[2:]]
+                    suf = w - np.arange(len(toks), dtype=float)
+                else:
+                    toks = order.arrange(toks)
+                    each = order.weights(toks)
+                    suf = np.cumsum(each[::-1])[::-1]
+                    w, known, words = float(suf[0]), order.weighting == "unit", list(parity_map(toks))
+                own = band(w)
+                for k, need in allowed(w):
+                    p = int(np.searchsorted(-suf, -need, side="right"))
+                    if not p:
+                        continue
+                    pair = (min(own, k), max(own, k)) if side == "self" else (own, k) if side == "a" else (k, own)
+                    out[0].append(_mixed(toks[:p], *pair, family))
+                    out[5].append(suf[:p])
+                    for j, v in ((1, own), (2, k), (3, gids[i]), (4, w), (6, known), *((7 + q, x) for q, x in enumerate(words))):
+                        out[j].append(np.full(p, v))
+                    held += p
+                if held > 100_000:
+                    yield _packed(out)
+                    out, held = [[] for _ in range(11)], 0
+            if held:
+                yield _packed(out)
+
+    return sets.select(*names).mapInArrow(emit, POSTING)
+
+
+def _packed(out: list[list]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), *[pa.int64()] * 4]
+    names = [x.split()[0] for x in POSTING.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=t) for c, t in zip(out, kinds)], names=names)
+
+
+def parity_gap(a: str, b: str) -> Column:
+    """Least size of the symmetric difference that the parity maps prove."""
+    total = F.bit_count(F.col(f"{a}.b0").bitwiseXOR(F.col(f"{b}.b0")))
+    for i in (1, 2, 3):
+        total = total + F.bit_count(F.col(f"{a}.b{i}").bitwiseXOR(F.col(f"{b}.b{i}")))
+    return total
+
+
+def may_reach(measure: Measure, a: str = "x", b: str = "y", *, positions: bool = True) -> Column:
+    """Whether a posting pair may belong to a pair of records that reaches the measure."""
+    w, v = F.col(f"{a}.weight"), F.col(f"{b}.weight")
+    need = measure.need_column(w, v)
+    ok = F.least(w, v) >= need
+    if positions:
+        ok = ok & (F.least(F.col(f"{a}.suf"), F.col(f"{b}.suf")) >= need)
+    unknown = ~F.col(f"{a}.bits") | ~F.col(f"{b}.bits")
+    return ok & (unknown | (parity_gap(a, b) <= w + v - F.lit(2.0) * need))
+
+
+def met(left: DataFrame, right: DataFrame, measure: Measure, *, same: bool, extra: Column | None = None) -> DataFrame:
+    """Distinct pairs (a, b) of gid that share a posting and may reach the measure.
+
+    ``same``: both sides are one set; each unordered pair comes out once, a < b.
+    """
+    x, y = left.alias("x"), right.alias("y")
+    on = (F.col("x.sig") == F.col("y.sig")) & may_reach(measure)
+    if same:
+        x, y = x.where("own <= oth"), y.where("own >= oth")
+        on = on & (F.col("x.own") == F.col("y.oth")) & (F.col("x.oth") == F.col("y.own"))
+        on = on & ((F.col("x.own") < F.col("y.own")) | (F.col("x.gid") < F.col("y.gid")))
+    if extra is not None:
+        on = on & extra
+    pair = (F.least("x.gid", "y.gid"), F.greatest("x.gid", "y.gid")) if same else (F.col("x.gid"), F.col("y.gid"))
+    return x.join(y, on).select(pair[0].alias("a"), pair[1].alias("b")).distinct()
+
+
+def tenths(column_a: str, column_b: str, at_least: int) -> Column:
+    """Whether the Jaccard similarity of two arrays of distinct members is at_least/10 or more; exact."""
+    common = F.size(F.array_intersect(column_a, column_b))
+    union = F.size(column_a) + F.size(column_b) - common
+    return (union > 0) & (common * 10 >= union * at_least)
