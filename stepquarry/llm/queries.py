@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepquarry.llm import incremental, neardup, overlap, splits
+from stepquarry.llm import incremental, neardup, overlap, packing, splits, tokenizer
+from stepquarry.plans.runtime import settle
 from stepquarry.sources.tables import table
 
 
@@ -57,14 +58,33 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     index = incremental.PrefixIndex.over(firsts)
     new = table(spark, d, "new_geometry_problems")
     out = None
-    for (batch,) in sorted(map(tuple, new.select("batch_id").distinct().collect())):
-        rows = new.where(F.col("batch_id") == batch)
+    batches = [r[0] for r in new.select("batch_id").distinct().collect()]
+    for batch in sorted(batches, key=lambda b: (b is None, b or 0)):  # a row without a batch comes last
+        rows = new.where(F.col("batch_id").eqNullSafe(batch))
         status = incremental.ingest(index, neardup.record_sets(rows, F.col("new_id"), text, steps))
         refused = status.where("refused").select(F.col("key").alias("new_id"))
         out = refused if out is None else out.unionByName(refused)
     return out if out is not None else spark.createDataFrame([], "new_id long")
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenizer.encoded(table(spark, d, "documents"), "doc_id", "text")
+
+
+def _pieces(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    items = settle(tokenizer.sizes(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("doc_id", "key"), "sizes")
+    limits = table(spark, d, "pack_limits").withColumnRenamed("capacity_tokens", "capacity")
+    return packing.packed(items, limits), limits
+
+
+def p7_pack(spark: SparkSession, d: str) -> DataFrame:
+    return _pieces(spark, d)[0].withColumnRenamed("key", "doc_id")
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(*_pieces(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p5_found)
+    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p7_pack, p7_fill)
 }
