@@ -10,6 +10,8 @@ import atexit
 import itertools
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +71,20 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     """
     n = df.limit(most_rows + 1).count()
     return F.broadcast(df) if n <= most_rows else df
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = Path(__file__).resolve().parents[1]
+    out = Path(tempfile.mkdtemp(prefix="stepquarry-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(out))
