@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepquarry.llm import incremental, neardup, overlap, packing, splits, tokenizer
+from stepquarry.llm import incremental, mojibake, neardup, overlap, packing, splits, tokenizer
 from stepquarry.plans.runtime import settle
 from stepquarry.sources.tables import table
 
@@ -85,6 +85,15 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(*_pieces(spark, d))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.mended(table(spark, d, "documents"), "doc_id", "text").where("garbled").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, d: str) -> DataFrame:
+    rows = mojibake.mended(table(spark, d, "documents"), "doc_id", "text").where("garbled")
+    return rows.select("doc_id", "restored", "stretches_restored", "stretches_lost")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p7_pack, p7_fill)
+    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p7_pack, p7_fill, p8_found, p8_restored)
 }
