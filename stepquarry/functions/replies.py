@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -81,37 +83,46 @@ def _steps_json(obj) -> str | None:
     return json.dumps(steps, ensure_ascii=False) if isinstance(steps, list) else None
 
 
-@F.pandas_udf("string")
-def strict_steps(replies: pd.Series) -> pd.Series:
+def _arrow(rule: Callable[[object], str | None], column: Column | str) -> Column:
+    """The rule on every value, in Arrow batches."""
+
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(rule)
+
+    run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(column)
+
+
+def strict_steps(replies: Column | str) -> Column:
     """JSON of the steps in the first object of each reply, as it stands; null without."""
-    return replies.map(lambda t: _steps_json(first_object(t, False)), na_action="ignore")
+    return _arrow(lambda t: _steps_json(first_object(t, False)), replies)
 
 
-@F.pandas_udf("string")
-def lenient_steps(replies: pd.Series) -> pd.Series:
+def lenient_steps(replies: Column | str) -> Column:
     """As strict_steps, with repair, and with later objects tried if one does not parse."""
-    return replies.map(lambda t: _steps_json(first_object(t, True)), na_action="ignore")
+    return _arrow(lambda t: _steps_json(first_object(t, True)), replies)
+
+
+def mended(text: str | None) -> str | None:
+    if text is None or _loads(text) is not None:
+        return text
+    return repaired(text) if _loads(repaired(text)) is not None else None
 
 
-@F.pandas_udf("string")
-def repaired_json(texts: pd.Series) -> pd.Series:
+def repaired_json(texts: Column | str) -> Column:
     """Each text repaired if it is no JSON, and null if it is none then either."""
-    def one(t: str) -> str | None:
-        if _loads(t) is not None:
-            return t
-        return repaired(t) if _loads(repaired(t)) is not None else None
+    return _arrow(mended, texts)
 
-    return texts.map(one, na_action="ignore")
 
+_KEYS = ("name", "type", "class", "label", "command")
 
-@F.pandas_udf("string")
-def steps_as_json(steps: pd.Series) -> pd.Series:
-    """Steps as the JSON of a training target: keys in order, absent ones left out, a blank after each separator."""
-    keys = ("name", "type", "class", "label", "command")
 
-    def one(rows) -> str | None:
-        if rows is None:
-            return None
-        return json.dumps({"construction_steps": [{k: s[k] for k in keys if s[k] is not None} for s in rows if s is not None]}, ensure_ascii=False)
+def written(steps) -> str | None:
+    if steps is None:
+        return None
+    return json.dumps({"construction_steps": [{k: s[k] for k in _KEYS if s[k] is not None} for s in steps if s is not None]}, ensure_ascii=False)
 
-    return steps.map(one)
+
+def steps_as_json(steps: Column | str) -> Column:
+    """Steps as the JSON of a training target: keys in order, absent ones left out, a blank after each separator."""
+    return _arrow(written, steps)

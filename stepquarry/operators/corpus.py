@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepquarry.functions.replies import steps_as_json
+from stepquarry.functions.replies import written
 from stepquarry.functions.words import paraphrases, shown_steps
+from stepquarry.plans.runtime import settle
 
 # The held-out share, and characters of text a token is taken for.
 EVAL_SHARE = 0.13
 CHARS_PER_TOKEN = 3.5
 
 SYSTEM = "Turn the geometry task into an ordered list of construction steps and answer with one JSON object only."
-SALTS = 64
 
 
 def shuffle_key(*keys: Column, seed: int = 42) -> Column:
@@ -61,10 +64,20 @@ def expanded(problems: DataFrame, statement: str = "problem_statement", most_ext
 
 
 def chat(problems: DataFrame, keys: list[str], system: str = SYSTEM) -> DataFrame:
-    """(keys, messages): system, user with the statement, assistant with the steps as JSON, named objects shown."""
-    target = steps_as_json(shown_steps(F.col("problem_statement"), F.col("construction_steps")))
+    """(keys, messages): system, user with the statement, assistant with the steps as JSON, named objects shown.
+
+    A null statement gives a null content; null steps give a null target.
+    """
+    shown = problems.select(*keys, "problem_statement", shown_steps(F.col("problem_statement"), F.col("construction_steps")).alias("_steps"))
+
+    def targets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.drop(columns="_steps").assign(_target=b["_steps"].map(written).astype(object))
+
+    kept = [f for f in shown.schema if f.name != "_steps"]
+    done = shown.mapInPandas(targets, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", _target string")
     turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    return problems.select(*keys, F.array(turn("system", F.lit(system)), turn("user", F.col("problem_statement")), turn("assistant", target)).alias("messages"))
+    return done.select(*keys, F.array(turn("system", F.lit(system)), turn("user", F.col("problem_statement")), turn("assistant", F.col("_target"))).alias("messages"))
 
 
 def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, column: str = "id", floor: int = 1000) -> DataFrame:
@@ -74,8 +87,6 @@ def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, column: str =
     """
     start = taken.agg(F.greatest(F.coalesce(F.max(column), F.lit(0)), F.lit(floor)).alias("_start"))
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-    from stepquarry.plans.runtime import settle
-
     parts = settle(parts, "ordered")
     counts = parts.groupBy("_p").agg(F.count("*").alias("_c"))
     before = F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -1,5 +1,5 @@
 """Imports every module that registers queries."""
 
-from stepquarry.plans import figure_queries, nested_queries  # noqa: F401
+from stepquarry.plans import figure_queries, nested_queries, text_queries  # noqa: F401
 
-FLAGSHIP = "p1_found"
+FLAGSHIP = "dup_flagged"
