@@ -1,12 +1,15 @@
 """Filling containers of a fixed capacity: minimum bin slack.
 
-For one container after another the largest item left is put in, and a bitset
-subset-sum over the lengths left finds the fullest way to fill what remains.
-Items of one length are alike, so the search needs only how many items of each
-length are left: at most ``capacity`` counts, whatever the corpus. A combination
-is taken as often as its scarcest length allows, so each search uses up at least
-one length and there are at most ``capacity`` searches. The items themselves are
-then numbered within their length, in parallel, and look their container up.
+For one container after another an item, at first the largest left, is put in, and
+a bitset subset-sum over the lengths left finds the fullest way to fill what
+remains. Items of one length are alike, so the search needs only how many items of
+each length are left: at most ``capacity`` counts, whatever the corpus. A
+combination is repeated as often as its scarcest length allows (or half as often),
+so the searches are at most ``capacity`` (or that times the logarithm of the
+items). Where the containers come out more than the sizes call for, other ways to
+start and to choose among equally full combinations are tried, and the best is
+kept. The items themselves are then numbered within their length, in parallel, and
+look their container up.
 
 An item above the capacity is cut into full containers and a rest, which is
 packed like any item. Items of size 0 take no room: they come out as piece 0 with
@@ -23,15 +26,21 @@ from stepquarry.plans.runtime import settle
 SALTS = 64
 
 
-def fullest(capacity: int, left: dict[int, int]) -> dict[int, int]:
-    """The combination {length: items} of the largest length left and what fills the rest best.
+#: How a container starts and in which order lengths are offered to fill it: by length, by what all its items take, or
+#: by their number; and which part of the possible repeats of a combination is taken before the next search.
+WAYS = (("length", "length", 1.0), ("room", "room", 1.0), ("room", "room", 0.5), ("room", "number", 0.5))
+_BY = {"length": lambda k, n: k, "room": lambda k, n: (k * n, k), "number": lambda k, n: (n, k)}
 
-    Longer lengths are offered first and the search ends once nothing is left free.
+
+def fullest(capacity: int, left: dict[int, int], start: str = "length", offer: str = "length") -> dict[int, int]:
+    """The combination {length: items} of one item of the first length by ``start`` and what fills the rest best.
+
+    Of equally full combinations the one with lengths offered early is taken; the search ends once nothing is left free.
     """
-    seed = max(left)
+    seed = max(left, key=lambda k: _BY[start](k, left[k]))
     room = capacity - seed
     mask, sums, stages = (1 << (room + 1)) - 1, 1, []
-    for length in sorted(left, reverse=True):
+    for length in sorted(left, key=lambda k: _BY[offer](k, left[k]), reverse=True):
         n = min(left[length] - (length == seed), room // length)
         step = 1
         while n > 0:  # powers of two, then the rest, so that every number up to n is a sum of some
@@ -51,17 +60,26 @@ def fullest(capacity: int, left: dict[int, int]) -> dict[int, int]:
 
 
 def patterns(capacity: int, counts: dict[int, int]) -> list[tuple[int, dict[int, int]]]:
-    """(containers, combination) in the order they are filled."""
-    left, out = {k: v for k, v in counts.items() if v > 0}, []
-    while left:
-        combo = fullest(capacity, left)
-        times = min(left[k] // v for k, v in combo.items())
-        for k, v in combo.items():
-            left[k] -= v * times
-            if not left[k]:
-                del left[k]
-        out.append((times, combo))
-    return out
+    """(containers, combination) in the order they are filled: by the first of WAYS that needs no more than must be, else by the best."""
+    counts = {k: v for k, v in counts.items() if v > 0}
+    least = max(-(-sum(k * v for k, v in counts.items()) // capacity), sum(v for k, v in counts.items() if 2 * k > capacity))
+    best, fewest = [], None
+    for start, offer, part in WAYS:
+        left, out, n = dict(counts), [], 0
+        while left:
+            combo = fullest(capacity, left, start, offer)
+            times = max(1, int(part * min(left[k] // v for k, v in combo.items())))
+            for k, v in combo.items():
+                left[k] -= v * times
+                if not left[k]:
+                    del left[k]
+            out.append((times, combo))
+            n += times
+        if fewest is None or n < fewest:
+            best, fewest = out, n
+        if fewest <= least:
+            break
+    return best
 
 
 def packed(items: DataFrame, limits: DataFrame) -> DataFrame:
