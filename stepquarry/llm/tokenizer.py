@@ -24,6 +24,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -48,7 +49,7 @@ class ByteBPE:
         for b in ranks:
             self.longest[b[-1]] = max(self.longest[b[-1]], len(b))
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str) -> ByteBPE:
@@ -99,7 +100,12 @@ class ByteBPE:
             before = word
         return out
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+    @staticmethod
+    def ids(packed: bytes) -> list[int]:
+        return np.frombuffer(packed, "<i4").tolist()
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as packed 32-bit integers."""
         cut = [self.words.findall(t) if t else [] for t in texts]
         fresh = {w for ws in cut for w in ws if w not in self._known}
         if len(self._known) + len(fresh) > REMEMBERED:
@@ -108,8 +114,8 @@ class ByteBPE:
         raw = {w: w.encode("utf-8", "surrogatepass") for w in fresh}
         found = self.encode_words(list(raw.values()))
         known = self._known
-        known.update((w, found[b]) for w, b in raw.items())
-        return [[i for w in ws for i in known[w]] for ws in cut]
+        known.update((w, np.array(found[b], "<i4").tobytes()) for w, b in raw.items())
+        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
 
 
 @lru_cache(maxsize=2)
@@ -118,7 +124,7 @@ def tokenizer(path: str) -> ByteBPE:
     return ByteBPE.load(path)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[list[int]]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     t = tokenizer(path)
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -131,7 +137,9 @@ def encoded(docs: DataFrame, key: str, text: str, *, path: str = f"{FOLDER}/{BYT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ids in _chunks(batches, path):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
+            ends = np.cumsum([0, *[len(i) // 4 for i in ids]], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[key, "ids"])
 
     rows = docs.select(key, text)
     return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, ids array<int>")
@@ -142,7 +150,7 @@ def sizes(docs: DataFrame, key: str, text: str, *, path: str = f"{FOLDER}/{BYTE_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, ids in _chunks(batches, path):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(i) for i in ids], pa.int64())], names=[key, "n"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64())], names=[key, "n"])
 
     rows = docs.select(key, text)
     return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, n long")
