@@ -60,10 +60,10 @@ def token_order(sets: DataFrame, column: str, weighting: str = "unit") -> Order:
         sets.select(F.explode(column).alias("t"))
         .groupBy(F.col("t").bitwiseAND(F.lit(_MASK)).cast("int").alias("b"))
         .agg(F.count("*").alias("n"))
-        .toPandas()
+        .toArrow()
     )
     counts = np.zeros(1 << HIST_BITS, np.int64)
-    counts[rows["b"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    counts[rows["b"].to_numpy()] = rows["n"].to_numpy()
     n = sets.count() if weighting != "unit" else 0
     return Order(spark.sparkContext.broadcast(counts), n, weighting)
 
@@ -110,15 +110,18 @@ def parity_map(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family: int = 0) -> DataFrame:
+def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family: int = 0, beside: str | None = None) -> DataFrame:
     """Posting rows of ``sets`` (gid, toks, and where grouped bits, weight, b0..b3).
 
     ``side`` is "self" where the set is joined with itself, "a" or "b" where two
     sets meet. ``toks`` may hold just the prefix if the columns ``weight`` and
     b0..b3 are given. Records without tokens have no postings: their similarity is 0.
+    With ``beside``, another column of hashes, the map is that set's, and a column
+    ``size`` gives its size: so pairs can be filtered by a second similarity.
     """
     given = "weight" in sets.columns
-    names = ["gid", "toks", *(["weight", "bits", "b0", "b1", "b2", "b3"] if given else [])]
+    names = ["gid", "toks", *(["weight", "bits", "b0", "b1", "b2", "b3"] if given else []), *([beside] if beside else [])]
+    width = 11 + bool(beside)
     plans: dict[float, list[tuple[int, float]]] = {}
 
     def allowed(w: float) -> list[tuple[int, float]]:
@@ -138,8 +141,9 @@ def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family:
             gids = batch.column(0).to_numpy(zero_copy_only=False)
             lists = batch.column(1)
             values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            extra = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)]
-            out: list[list] = [[] for _ in range(11)]
+            extra = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)] if given else []
+            others, ends = (batch.column(2).values.to_numpy(zero_copy_only=False), batch.column(2).offsets.to_numpy()) if beside else (None, None)
+            out: list[list] = [[] for _ in range(width)]
             held = 0
             for i in range(len(gids)):
                 toks = values[offsets[i] : offsets[i + 1]]
@@ -152,7 +156,10 @@ def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family:
                     toks = order.arrange(toks)
                     each = order.weights(toks)
                     suf = np.cumsum(each[::-1])[::-1]
-                    w, known, words = float(suf[0]), order.weighting == "unit", list(parity_map(toks))
+                    w, known, words = float(suf[0]), order.weighting == "unit", None if beside else list(parity_map(toks))
+                if beside:
+                    other = others[ends[i] : ends[i + 1]]
+                    known, words = True, [*parity_map(other), float(len(other))]
                 own = band(w)
                 for k, need in allowed(w):
                     p = int(np.searchsorted(-suf, -need, side="right"))
@@ -166,16 +173,16 @@ def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family:
                     held += p
                 if held > 100_000:
                     yield _packed(out)
-                    out, held = [[] for _ in range(11)], 0
+                    out, held = [[] for _ in range(width)], 0
             if held:
                 yield _packed(out)
 
-    return sets.select(*names).mapInArrow(emit, POSTING)
+    return sets.select(*names).mapInArrow(emit, POSTING + (", size double" if beside else ""))
 
 
 def _packed(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), *[pa.int64()] * 4]
-    names = [x.split()[0] for x in POSTING.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), *[pa.int64()] * 4, pa.float64()]
+    names = [*[x.split()[0] for x in POSTING.split(", ")], "size"][: len(out)]
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=t) for c, t in zip(out, kinds)], names=names)
 
 

@@ -13,7 +13,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _serial = itertools.count()
@@ -64,6 +64,17 @@ def settle(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_counted(df: DataFrame, name: str = "cut", **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``settle`` that also gives the number of rows ``n`` and further aggregates, taken while writing."""
+    taken = Observation()
+    aggs = {"n": F.count(F.lit(1)), **counts}
+    out = settle(df.observe(taken, *[a.alias(k) for k, a in aggs.items()]), name)
+    got = taken.get
+    if set(got) != set(aggs):  # an empty plan may have been cut short
+        got = out.agg(*[a.alias(k) for k, a in aggs.items()]).first().asDict()
+    return out, {k: v or 0 for k, v in got.items()}
+
+
 def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is.
 
