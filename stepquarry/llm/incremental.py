@@ -9,9 +9,11 @@ The index is two append-only Parquet datasets in the shared folder:
 The token order is fixed from the first history when the index is made; later
 records are ordered by it too, which stays exact and only costs selectivity as
 the vocabulary drifts (make a new index then). A batch is tokenised and writes
-its own probe rows; the history is never tokenised, grouped or shuffled again.
-While the probe rows stay below ``PROBE_ROWS`` they are broadcast in one piece
-and the postings are only scanned; a larger batch is joined by shuffle instead.
+its own probe rows, partitioned like the postings; the history is never tokenised,
+grouped or shuffled again. Probes meet the postings partition by partition: as many
+partitions at a time as keep the probe rows below ``PROBE_ROWS``, which are then
+broadcast, so that each posting is scanned once and moved nowhere. A partition
+whose own probes exceed that is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from pyspark.sql import functions as F
 from stepquarry.functions import text as X
 from stepquarry.operators import setsim as S
 from stepquarry.llm.neardup import LOOSE, STEPS, TEXT, alike
-from stepquarry.plans.runtime import settle, shared_path, small_side
+from stepquarry.plans.runtime import settle, settle_counted, shared_path
 
-#: Most probe rows (about 80 bytes each) and candidate pairs that are broadcast.
-PROBE_ROWS = 1_000_000
+#: Most probe rows (about 80 bytes each) and candidate pairs that are broadcast at once.
+PROBE_ROWS = 400_000
 PARTS = 16
+SETS = "gid long, toks array<long>, cmds array<long>"
+POSTINGS = "sig long, gid long, fam int, weight double, suf double, size double, c0 long, c1 long, c2 long, c3 long, part int"
 
 
 class PrefixIndex:
@@ -34,6 +38,7 @@ class PrefixIndex:
 
     def __init__(self, spark: SparkSession, path: str, by_token: S.Order, by_command: S.Order):
         self.spark, self.path, self.by_token, self.by_command = spark, path, by_token, by_command
+        self.appended = 0
 
     @classmethod
     def over(cls, history: DataFrame, path: str | None = None) -> PrefixIndex:
@@ -45,53 +50,65 @@ class PrefixIndex:
 
     def rows(self, sets: DataFrame, side: str) -> DataFrame:
         """Postings of both conditions; those on commands carry the text's size and parity map as well."""
-        texts = S.postings(sets, self.by_token, TEXT, side, 1)
-        steps = S.postings(sets.select("gid", F.col("cmds").alias("toks")), self.by_command, STEPS, side, 2)
-        maps = _maps(sets)
-        by = lambda df, fam: df.select("sig", "gid", F.lit(fam).alias("fam"), "weight", "suf")
-        both = by(texts, 1).unionByName(by(steps, 2)).join(maps, "gid")
-        return both.withColumn("part", F.pmod("sig", F.lit(PARTS)).cast("int"))
-
-    def append(self, sets: DataFrame) -> None:
-        """Add accepted records; each partition gets one more file."""
-        self.rows(sets, "b").repartition(PARTS, "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/postings")
-        sets.select("gid", "toks", "cmds").write.mode("append").parquet(f"{self.path}/sets")
+        texts = S.postings(sets.select("gid", "toks", F.col("toks").alias("t")), self.by_token, TEXT, side, 1, beside="t")
+        steps = S.postings(sets.select("gid", F.col("cmds").alias("toks"), F.col("toks").alias("t")), self.by_command, STEPS, side, 2, beside="t")
+        maps = [F.col(f"b{i}").alias(f"c{i}") for i in range(4)]
+        by = lambda df, fam: df.select("sig", "gid", F.lit(fam).alias("fam"), "weight", "suf", "size", *maps)
+        return by(texts, 1).unionByName(by(steps, 2)).withColumn("part", F.pmod("sig", F.lit(PARTS)).cast("int"))
+
+    def append(self, sets: DataFrame) -> DataFrame:
+        """Add accepted records, and give them back as they were written; each partition of postings gets one more file."""
+        path = f"{self.path}/sets/part={self.appended}"
+        self.appended += 1
+        sets.select("gid", "toks", "cmds").write.parquet(path)
+        written = self.spark.read.schema(SETS).parquet(path)
+        self.rows(written, "b").repartition(PARTS, "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/postings")
+        return written
+
+    def sets(self, since: int = 0) -> DataFrame:
+        """The accepted records, or those of the appends from number ``since`` on."""
+        return self.spark.read.schema(SETS + ", part int").parquet(f"{self.path}/sets").where(F.col("part") >= since).drop("part")
 
     def probe(self, sets: DataFrame) -> DataFrame:
-        """Settled gids of ``sets`` that are alike an indexed record."""
-        read = self.spark.read
-        held = read.schema("sig long, gid long, fam int, weight double, suf double, size double, c0 long, c1 long, c2 long, c3 long, part int").parquet(f"{self.path}/postings")
-        asked = settle(self.rows(sets, "a"), "probes")
-        pairs = settle(meet(small_side(asked, PROBE_ROWS), held), "candidates")
+        """Pairs (a, b) of settled ``sets`` and the indexed records that they are alike."""
+        held = self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
+        each = {f"p{i}": F.count_if(F.col("part") == i) for i in range(PARTS)}
+        asked, counts = settle_counted(self.rows(sets, "a"), "probes", **each)
+        pairs, n = None, 0
+        for parts, small in blocks([counts[f"p{i}"] for i in range(PARTS)]):
+            probes = asked.where(F.col("part").isin(parts))
+            met, found = settle_counted(meet(F.broadcast(probes) if small else probes, held.where(F.col("part").isin(parts))), "candidates")
+            pairs, n = met if pairs is None else pairs.unionByName(met), n + found["n"]
+        if not n:
+            return sets.select(F.col("gid").alias("a"), F.col("gid").alias("b")).limit(0)
         a = sets.select(F.col("gid").alias("a"), F.col("toks").alias("a_toks"), F.col("cmds").alias("a_cmds"))
-        b = read.schema("gid long, toks array<long>, cmds array<long>").parquet(f"{self.path}/sets")
-        b = b.select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"))
-        found = small_side(pairs, PROBE_ROWS).join(b, "b").join(a, "a").where(alike())
-        return settle(found.select(F.col("a").alias("gid")).distinct(), "hits")
+        b = self.sets().select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"))
+        pairs = pairs.distinct()
+        return (F.broadcast(pairs) if n <= PROBE_ROWS else pairs).join(b, "b").join(a, "a").where(alike()).select("a", "b")
 
-    def within(self, sets: DataFrame) -> DataFrame:
-        """Settled pairs (a, b) of different gid in ``sets`` that are alike, in both directions."""
+    def within(self, sets: DataFrame) -> tuple[DataFrame, int]:
+        """Settled pairs (a, b), a < b, of gid in settled ``sets`` that are alike, and their number."""
         pairs = meet(self.rows(sets, "a"), self.rows(sets, "b"), F.col("x.gid") < F.col("y.gid"))
         a = sets.select(F.col("gid").alias("a"), F.col("toks").alias("a_toks"), F.col("cmds").alias("a_cmds"))
         b = sets.select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"))
-        return settle(pairs.join(a, "a").join(b, "b").where(alike()).select("a", "b"), "within")
-
-
-def _maps(sets: DataFrame) -> DataFrame:
-    """(gid, size, c0..c3): size and parity map of the token set."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            lists = batch.column(1)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            words = np.array([S.parity_map(values[offsets[i] : offsets[i + 1]]) for i in range(batch.num_rows)], np.int64).reshape(-1, 4)
-            sizes = np.diff(offsets[: batch.num_rows + 1]).astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), *[pa.array(words[:, q]) for q in range(4)]], names=["gid", "size", "c0", "c1", "c2", "c3"])
-
-    return sets.select("gid", "toks").mapInArrow(run, "gid long, size double, c0 long, c1 long, c2 long, c3 long")
+        found, counts = settle_counted(pairs.join(a, "a").join(b, "b").where(alike()).select("a", "b"), "within")
+        return found, counts["n"]
+
+
+def blocks(counts: list[int]) -> list[tuple[list[int], bool]]:
+    """Partitions of the probes, by their row counts, to be taken together, and whether their rows may be broadcast."""
+    out: list[tuple[list[int], bool]] = []
+    room = 0
+    for part, n in enumerate(counts):
+        if not n:
+            continue
+        if out and out[-1][1] and n <= room:
+            out[-1][0].append(part)
+            room -= n
+        else:
+            out.append(([part], n <= PROBE_ROWS))
+            room = PROBE_ROWS - n
+    return out
 
 
 def meet(asked: DataFrame, held: DataFrame, extra: Column | None = None) -> DataFrame:
@@ -140,21 +157,25 @@ def first_wins(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def ingest(index: PrefixIndex, batch: DataFrame) -> DataFrame:
-    """Refuse or accept one batch of (key, toks, cmds); returns settled (key, refused) and appends what is accepted.
+    """Take one batch of (key, toks, cmds): append what is accepted to the index and return it, as (gid, toks, cmds).
 
     Records are taken by key. Rows with equal sets are one class led by its least
     key; the others are refused with it or because of it. Records without tokens
-    are alike nothing: they are accepted and need no postings.
+    are alike nothing: they are accepted, need no postings and aren't returned.
     """
-    k1, k2 = X.set_key(F.col("toks"))
-    c1, c2 = X.set_key(F.col("cmds"))
-    hashes = ["k1", "k2", "c1", "c2"]
-    batch = settle(batch.select("key", "toks", "cmds", k1.alias("k1"), k2.alias("k2"), c1.alias("c1"), c2.alias("c2")), "batch")
-    firsts = settle(batch.where(F.size("toks") > 0).groupBy(*hashes).agg(F.min("key").alias("gid"), F.first("toks").alias("toks"), F.first("cmds").alias("cmds")).drop(*hashes), "leaders")
-    left = settle(firsts.join(index.probe(firsts), "gid", "left_anti"), "left")
-    pairs = index.within(left)
-    kept = left.select("gid") if pairs.isEmpty() else first_wins(left.select("gid"), pairs)
-    accepted = settle(left.join(kept, "gid", "left_semi"), "accepted")
-    index.append(accepted)
-    status = batch.select("key", F.size("toks").alias("n")).join(accepted.select(F.col("gid").alias("key"), F.lit(True).alias("ok")), "key", "left")
-    return settle(status.select("key", (F.col("ok").isNull() & (F.col("n") > 0)).alias("refused")), "status")
+    firsts = settle(leaders(batch), "leaders")
+    left = settle(firsts.join(index.probe(firsts).select(F.col("a").alias("gid")), "gid", "left_anti"), "left")
+    pairs, n = index.within(left)
+    return index.append(left.join(first_wins(left.select("gid"), pairs), "gid", "left_semi") if n else left)
+
+
+def leaders(batch: DataFrame) -> DataFrame:
+    """(gid, toks, cmds) of the classes with equal, non-empty token sets; gid is the least key."""
+    hashes = dict(zip(("k1", "k2", "c1", "c2"), [*X.set_key(F.col("toks")), *X.set_key(F.col("cmds"))]))
+    rows = batch.where(F.size("toks") > 0).withColumns(hashes).groupBy(*hashes)
+    return rows.agg(F.min("key").alias("gid"), F.first("toks").alias("toks"), F.first("cmds").alias("cmds")).drop(*hashes)
+
+
+def refused(rows: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Keys of the ingested rows (key, toks, cmds) that were refused, given the accepted leaders (gid)."""
+    return rows.where(F.size("toks") > 0).select("key").join(accepted.select(F.col("gid").alias("key")), "key", "left_anti")

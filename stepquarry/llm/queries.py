@@ -57,14 +57,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     firsts, _ = neardup.classes_of(history)
     index = incremental.PrefixIndex.over(firsts)
     new = table(spark, d, "new_geometry_problems")
-    out = None
     batches = [r[0] for r in new.select("batch_id").distinct().collect()]
     for batch in sorted(batches, key=lambda b: (b is None, b or 0)):  # a row without a batch comes last
         rows = new.where(F.col("batch_id").eqNullSafe(batch))
-        status = incremental.ingest(index, neardup.record_sets(rows, F.col("new_id"), text, steps))
-        refused = status.where("refused").select(F.col("key").alias("new_id"))
-        out = refused if out is None else out.unionByName(refused)
-    return out if out is not None else spark.createDataFrame([], "new_id long")
+        incremental.ingest(index, neardup.record_sets(rows, F.col("new_id"), text, steps))
+    all_rows = neardup.record_sets(new, F.col("new_id"), text, steps)
+    return incremental.refused(all_rows, index.sets(since=1)).select(F.col("key").alias("new_id"))
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
