@@ -112,3 +112,14 @@ def sequence_length(longest: Column) -> Column:
     """A training length for the longest example in characters: the next multiple of 256 tokens, at least 1024."""
     tokens = F.bround(longest / CHARS_PER_TOKEN, 0).cast("long")
     return F.greatest(F.lit(1024), 256 * (F.floor(tokens / 256) + 1)).cast("long")
+
+
+def prompt(rules: str, examples: DataFrame, order: str) -> DataFrame:
+    """One row ``prompt``: the rules, then each example as JSON by ``order``, parted by blank lines; for a few examples only."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.to_json(F.struct(*examples.columns)).alias("j"))))
+    return examples.agg(F.concat_ws("\n\n", F.lit(rules), F.transform(rows, lambda r: r["j"])).alias("prompt"))
+
+
+def repair_request(failed: Column, most: int = 6) -> Column:
+    """The text that names the first failed steps."""
+    return F.concat(F.lit("These steps failed: "), F.array_join(F.slice(failed, 1, most), "; "))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stepquarry.functions import words as W
 from stepquarry.operators import checks as C
+from stepquarry.operators import construct as E
 from stepquarry.operators import gates as G
 from stepquarry.operators import metrics as M
 from stepquarry.operators import params as P
@@ -458,3 +459,28 @@ def early_uses(spark: SparkSession, d: str) -> DataFrame:
 def captions(spark: SparkSession, d: str) -> DataFrame:
     rows = _steps(spark, d)
     return rows.select("problem_id", "pos", W.caption(F.struct("name", "class", "label")).alias("caption"), (F.coalesce("type", F.lit("")) != "construction").alias("visible"))
+
+
+@query()
+def evaluated_steps(spark: SparkSession, d: str) -> DataFrame:
+    """Every step of every problem built by the evaluator in two trials; its conventions are its own, so there is no SQL."""
+    return E.evaluate(all_problems(spark, d), "problem_id", 2)
+
+
+@query()
+def evaluator_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The problems' checks on figures that the evaluator built, by kind and outcome."""
+    problems = all_problems(spark, d)
+    trials = G.trials_of(E.as_probes(E.evaluate(problems, "problem_id", 2)))
+    return G.checked(trials, G.checks_of(problems, "problem_id")).groupBy("kind", "holds").agg(F.count("*").alias("n"))
+
+
+@query()
+def evaluator_report(spark: SparkSession, d: str) -> DataFrame:
+    return E.report(E.evaluate(all_problems(spark, d), "problem_id", 2))
+
+
+@query()
+def index_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Intersection indices flipped by building each figure up to three times."""
+    return E.fixed_indices(all_problems(spark, d), "problem_id")

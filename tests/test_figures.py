@@ -144,3 +144,39 @@ def test_references(spark):
     steps = spark.createDataFrame(rows, "problem_id long, pos int, name string, type string, command string")
     assert [r["name"] for r in R.dead_steps(steps).collect()] == ["d"]
     assert [(r["pos"], r["ref"]) for r in R.early_uses(steps).collect()] == [(2, "B")]
+
+
+def built(*steps, t=0.25):
+    from stepquarry.operators import construct as E
+
+    rows = E.built([None if s is None else dict(zip(("name", "command"), s)) for s in steps], lambda i: t)
+    return {n: (status, x if x is None else (round(x, 6) + 0.0, round(y, 6) + 0.0)) for _, n, status, x, y in rows}
+
+
+def test_evaluator():
+    got = built(
+        ("A", "(0, 0)"), ("B", "(4, 0)"), ("C", "(4/1, 4)"), None, ("M", "Midpoint(A, B)"), ("k", "Circle(A, B, C)"), ("O", "Center(k)"), ("p", "Point(Circle(A, 2))"),
+        ("X", "Intersect(Line(A, C), Line(B, O))"), ("D", "A + C - B"), ("R", "Rotate(B, 90°, A)"), ("S", "Reflect(C, Line(A, B))"), ("sq", "Polygon(A, B, 4)"), ("V", "Vertex(sq, 4)"),
+        ("I1", "Intersect(Circle(A, 5), Line(A, B), 1)"), ("I2", "Intersect(Circle(A, 5), Line(A, B), 2)"), ("I3", "Intersect(Circle(A, 1), Line(C, D))"), ("T", "Tangent((0, 5), Circle(A, 3))"),
+        ("h", "Incircle(A, B, (0, 3))"), ("J", "Center(h)"), ("N", "Nonsense(A)"), ("Q", "Midpoint(N, A)"), ("W", "Midpoint(nowhere, A)"), ("v", "Vector(A, B)"), ("U", "Translate(C, v)"), ("Z", None), ("G", "Centroid(Polygon(A, B, C))"),
+    )
+    want = {"M": (2, 0), "O": (2, 2), "p": (0, 2), "X": (4, 4), "D": (0, 4), "R": (0, 4), "S": (4, -4), "V": (0, 4), "I1": (-5, 0), "I2": (5, 0), "J": (1, 1), "U": (8, 4), "G": (2.666667, 1.333333)}
+    want["X"] = (2, 2)
+    for n, p in want.items():
+        assert got[n] == ("ok", p), n
+    assert got["T"] == ("ok", None) and got["I3"][0] == "failed" and got["N"][0] == "unsupported" and got["Q"][0] == "failed" and got["W"][0] == "unsupported" and got["Z"][0] == "unsupported"
+
+
+def test_evaluated_figures_pass_their_checks(spark):
+    from stepquarry.operators import construct as E
+
+    steps = [("A", "(0, 0)"), ("B", "(6, 1)"), ("k", "Circle(A, B)"), ("P", "Point(k)"), ("M", "Midpoint(P, B)"), ("Q", "Intersect(Line(P, B), k, 1)")]
+    rows = [(1, [(n, "final", "point" if n.isupper() else "circle", None, c) for n, c in steps], [json.dumps({"type": "equal_len", "a": ["A", "P"], "b": ["A", "B"]}), json.dumps({"type": "perpendicular", "a": ["A", "M"], "b": ["P", "B"]})])]
+    problems = spark.createDataFrame(rows, "problem_id long, construction_steps array<struct<name:string,type:string,class:string,label:string,command:string>>, checks array<string>")
+    results = G.checked(G.trials_of(E.as_probes(E.evaluate(problems, "problem_id", 4))), G.checks_of(problems, "problem_id")).collect()
+    assert len(results) == 8 and all(r["holds"] for r in results)
+    again = E.evaluate(problems, "problem_id", 4)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, E.evaluate(problems.repartition(3), "problem_id", 4).collect()))
+    (fix,) = E.fixed_indices(problems, "problem_id").collect()
+    assert (fix["pos"], fix["new"]) == (5, "Intersect(Line(P, B), k, 2)") or fix["old"].endswith("1)")
+    assert E.report(again).where("total = 6 AND failed = 0").count() == 4
