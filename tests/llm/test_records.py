@@ -69,7 +69,7 @@ def test_splits_keep_groups_and_shares(spark, giant):
         # a giant without a label leaves less room in its split for the rows that have it
         assert abs(mine.count("test") / len(mine) - 0.12) < (0.12 if giant else 0.03)
     assert {(x["ex_id"], x["split"]) for x in got} == {(x["ex_id"], x["split"]) for x in S.assign(grouped.repartition(5), plan(spark)).collect()}
-    assert S.assign(grouped.limit(0), plan(spark)).count() == 0
+    assert S.assign(grouped.limit(0), plan(spark)).count() == 0 and S.assign(grouped, plan(spark).limit(0)).count() == 0
 
 
 def test_bulk_placement_keeps_shares():
@@ -209,6 +209,9 @@ def test_garbled_texts_are_found_and_restored(spark):
                 if g and g != text:
                     originals[len(rows)] = text
                     rows.append(g)
+    only = "Prof’s remark: A ≥ 5…"  # a text that occurs garbled alone
+    originals[len(rows)] = only
+    rows.append(M.garble(only, CHAINS[0]))
     lost = len(rows)
     rows += ["Caf� de A", None, "", "plain ASCII", "\n", "x" * 200_000 + "é"]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(rows)], "doc_id long, text string, garbled string")
@@ -217,6 +220,7 @@ def test_garbled_texts_are_found_and_restored(spark):
     assert flagged == set(originals) | {lost}
     restored = sum(got[k]["restored"] == t for k, t in originals.items())
     assert restored >= 0.9 * len(originals)
+    assert got[lost - 1]["restored"] == only
     assert got[lost]["stretches_lost"] == 1 and got[lost + 1]["restored"] is None
     assert M.mended(docs.limit(0), "doc_id", "text").count() == 0
 
