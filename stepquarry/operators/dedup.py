@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepquarry.functions.text import hashed
 from stepquarry.functions.words import command_heads, content_words, jaccard
 from stepquarry.operators import setsim as S
-from stepquarry.plans.runtime import settle
 
 # What counts as a duplicate.
 SURE, LIKELY, SAME_STEPS = 0.5, 0.4, 0.85
@@ -46,13 +45,12 @@ def new_statements(batch: DataFrame, known: DataFrame, order: list[str], text: s
     """``batch`` with ``is_dup``: its stripped statement is in ``known`` or in an earlier row of the batch.
 
     Null statements count as the empty one. Statements meet as 128-bit hashes.
+    ``order`` must tell the rows of the batch apart. The earliest row of a
+    statement is found by aggregation, so a very common one is no single task's.
     """
     key = lambda: F.md5(F.trim(F.coalesce(F.col(text), F.lit(""))))
     seen = known.select(key().alias("_k")).distinct().withColumn("_seen", F.lit(True))
-    first = F.row_number().over(Window.partitionBy("_k").orderBy(*order))
-    rows = batch.withColumn("_k", key()).withColumn("_n", first).join(seen, "_k", "left")
-    return rows.withColumn("is_dup", F.coalesce("_seen", F.lit(False)) | (F.col("_n") > 1)).drop("_k", "_n", "_seen")
-
-
-def settled(df: DataFrame) -> DataFrame:
-    return settle(df, "features")
+    rows = batch.withColumn("_k", key()).withColumn("_at", F.struct(*order))
+    first = rows.groupBy("_k").agg(F.min("_at").alias("_first")).join(seen, "_k", "left")
+    rows = rows.join(first, "_k")
+    return rows.withColumn("is_dup", F.coalesce("_seen", F.lit(False)) | ~F.col("_at").eqNullSafe(F.col("_first"))).drop("_k", "_at", "_first", "_seen")
