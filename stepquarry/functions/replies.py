@@ -45,11 +45,16 @@ def spans(text: str):
             yield at, marks[end][0] + 1
 
 
+# The commonest slips and what is meant, in the order they are mended: no comma between objects or
+# between strings, a comma before a closing bracket.
+SLIPS = [(r"}\s*{", "}, {"), (r'"\s+"', '", "'), (r",\s*([}\]])", r"\1")]
+
+
 def repaired(text: str) -> str:
-    """The commonest slips mended: no comma between objects or between strings, a comma before a closing bracket."""
-    text = re.sub(r"}\s*{", "}, {", text)
-    text = re.sub(r'"\s+"', '", "', text)
-    return re.sub(r",\s*([}\]])", r"\1", text)
+    """The text with all SLIPS mended."""
+    for slip, meant in SLIPS:
+        text = re.sub(slip, meant, text)
+    return text
 
 
 def _loads(text: str):
