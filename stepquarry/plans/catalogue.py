@@ -2,4 +2,4 @@
 
 from stepquarry.plans import figure_queries, nested_queries, text_queries  # noqa: F401
 
-FLAGSHIP = "dup_flagged"
+FLAGSHIP = "trial_gate_majority"
