@@ -225,6 +225,24 @@ def test_garbled_texts_are_found_and_restored(spark):
     assert M.mended(docs.limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("chain", [(("utf-8", "cp1252"),), (("utf-8", "cp1251"),), (("cp1251", "cp1252"),), (("koi8-r", "cp1251"),)])
+def test_copies_of_a_garbled_text_are_found(spark, chain):
+    clean = [t.format(f"A{i}", f"B{i}") for i in range(120) for t in TEXTS.values()]
+    once = [M.garble(TEXTS["ru"].format(f"C{i}", "D"), chain) for i in range(2)]
+    many = M.garble(TEXTS["ru"].format("E", "F"), chain)
+    rows = clean + once + [many] * (len(clean) // 2)  # a third of all rows
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in M.mended(docs, "doc_id", "text").collect()}
+    assert {k for k, x in got.items() if x["garbled"]} == set(range(len(clean), len(rows)))
+    assert got[len(rows) - 1]["restored"] == TEXTS["ru"].format("E", "F")
+
+
+def test_copies_of_a_clean_text_still_teach_a_chain(spark):
+    rows = [TEXTS["fr"].format("A", "B")] * 8 + [M.garble(TEXTS["fr"].format("A", "B"), CHAINS[0])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert CHAINS[0] in M.learned(M.twins(docs))
+
+
 def test_queries_run(spark, small):
     from stepquarry.llm import queries, sql
 
