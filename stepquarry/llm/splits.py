@@ -10,8 +10,9 @@ components first, each to the split that needs that label most; components with
 a noticeable share of all rows go before that. Components with one label vector are interchangeable, so what reaches the driver is one row a
 distinct vector; vectors of components above ``EXACT`` rows are rounded down to
 two significant bits, which bounds the number of kinds by a function of the
-labels and of the logarithm of the largest component. Large kinds are placed in
-bulk in proportion to need.
+labels and of the logarithm of the largest component. A component of a share of
+``LARGE`` or more is a kind of its own, with exact counts; there are at most
+``1 / LARGE`` of them. Large kinds are placed in bulk in proportion to need.
 """
 
 from __future__ import annotations
@@ -168,7 +169,8 @@ def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
         unit = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.greatest(F.col(c), F.lit(1)).cast("double"))) - 1, F.lit(0)))
         return F.when(F.col("size") <= EXACT, F.col(c)).otherwise((F.floor(F.col(c) / unit) * unit).cast("long"))
 
-    comps = comps.select("group_id", *cols, F.xxhash64(*[kept(c) for c in cols]).alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    alone = F.when(F.col("size") >= LARGE * grouped.count(), F.col("group_id"))
+    comps = comps.select("group_id", *cols, F.xxhash64(*[kept(c) for c in cols], alone).alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
     comps = settle(comps, "comps")
     by_salt = settle(comps.groupBy("kind", "salt").agg(F.count("*").alias("c"), *[F.sum(c).alias(c) for c in cols]), "kinds")
     kinds = by_salt.groupBy("kind").agg(F.sum("c").alias("c"), *[F.sum(c).alias(c) for c in cols]).orderBy("kind").collect()

@@ -72,6 +72,15 @@ def test_splits_keep_groups_and_shares(spark, giant):
     assert S.assign(grouped.limit(0), plan(spark)).count() == 0 and S.assign(grouped, plan(spark).limit(0)).count() == 0
 
 
+def test_large_groups_of_unequal_size_are_placed_by_their_own_size(spark):
+    sizes = [1030, 1150, 1270, 1390, 1510]  # all of two leading bits alike
+    rows = [(g * 10_000 + i, "a", g, n) for g, n in enumerate(sizes) for i in range(n)]
+    grouped = spark.createDataFrame(rows, "ex_id long, source string, group_id long, group_size long")
+    shares = spark.createDataFrame([(f"s{n}", n / sum(sizes)) for n in sizes], "split string, fraction double")
+    got = {x["split"]: x["count"] for x in S.assign(grouped, shares).groupBy("split").count().collect()}
+    assert got == {f"s{n}": n for n in sizes}
+
+
 def test_bulk_placement_keeps_shares():
     kinds = [((0,), (5_000, 0), 5_000), ((1,), (0, 9_000), 3_000), ((2,), (7, 3), 1)]
     placed = S.stratify(kinds, [0.8, 0.08, 0.12])
