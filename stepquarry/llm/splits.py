@@ -12,7 +12,8 @@ distinct vector; vectors of components above ``EXACT`` rows are rounded down to
 two significant bits, which bounds the number of kinds by a function of the
 labels and of the logarithm of the largest component. A component of a share of
 ``LARGE`` or more is a kind of its own, with exact counts; there are at most
-``1 / LARGE`` of them. Large kinds are placed in bulk in proportion to need.
+``1 / LARGE`` of them. Every source is a label; vectors are sparse, so the driver
+gets one row a kind and source that occurs in it. Large kinds are placed in bulk in proportion to need.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from __future__ import annotations
 import heapq
 import itertools
 import json
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -31,8 +33,6 @@ from stepquarry.plans.runtime import settle
 
 EXACT = 16
 SALTS = 64
-#: So many of the commonest sources are labels of their own; all others share one.
-LABELS = 7
 #: Share of all rows from which a component is placed before all others.
 LARGE = 0.002
 
@@ -91,42 +91,57 @@ def groups(rows: DataFrame) -> DataFrame:
     return own.join(sizes, "root").select("ex_id", "source", "group_id", "group_size").unionByName(lone)
 
 
-def stratify(kinds: list[tuple[tuple[int, ...], tuple[int, ...], int]], fractions: list[float]) -> list[list[int]]:
+def stratify(kinds: list[tuple[tuple[int, ...], Sequence[int] | Mapping[int, int], int]], fractions: list[float]) -> list[list[int]]:
     """How many components of each kind go to each split.
 
     A kind is (vector key, total rows per label over its components, components).
     """
-    labels = range(len(kinds[0][1])) if kinds else range(0)
-    total = [sum(k[1][j] for k in kinds) for j in labels]
-    need = [[f * total[j] for j in labels] for f in fractions]
-    room = [f * sum(total) for f in fractions]
-    outstanding, placed, done = list(total), [[0] * len(fractions) for _ in kinds], [False] * len(kinds)
-    mean = [[t / k[2] for t in k[1]] for k in kinds]
+    rows = [{j: t for j, t in (k[1].items() if isinstance(k[1], Mapping) else enumerate(k[1])) if t} for k in kinds]
+    total: dict[int, int] = defaultdict(int)
+    having: dict[int, list[int]] = defaultdict(list)
+    for i, r in enumerate(rows):
+        for j, t in r.items():
+            total[j] += t
+            having[j].append(i)
+    all_rows = sum(total.values())
+    need = [{j: f * t for j, t in total.items()} for f in fractions]
+    room = [f * all_rows for f in fractions]
+    outstanding, placed, done = dict(total), [[0] * len(fractions) for _ in kinds], [False] * len(kinds)
+    mean = [{j: t / k[2] for j, t in r.items()} for r, k in zip(rows, kinds)]
+    sizes = [sum(m.values()) for m in mean]
+    rarest = [(t, j) for j, t in total.items()]  # with entries that are out of date
+    heapq.heapify(rarest)
 
     def put(i: int, s: int, n: int) -> None:
         placed[i][s] += n
-        for j in labels:
-            need[s][j] -= n * mean[i][j]
-            room[s] -= n * mean[i][j]
+        for j, m in mean[i].items():
+            need[s][j] -= n * m
+        room[s] -= n * sizes[i]
+
+    def finish(i: int) -> None:
+        done[i] = True
+        for j, t in rows[i].items():
+            outstanding[j] -= t
+            heapq.heappush(rarest, (outstanding[j], j))
 
     # what is too large to be made good later goes first, to the split with most room
-    large = sorted((i for i in range(len(kinds)) if sum(mean[i]) >= LARGE * sum(total)), key=lambda i: (-sum(mean[i]), kinds[i][0]))
+    large = sorted((i for i in range(len(kinds)) if sizes[i] >= LARGE * all_rows), key=lambda i: (-sizes[i], kinds[i][0]))
     for i in large:
         for _ in range(kinds[i][2]):
             put(i, max(range(len(fractions)), key=lambda s: (room[s], -s)), 1)
-        done[i] = True
-        for j in labels:
-            outstanding[j] -= kinds[i][1][j]
-
-    while not all(done):
-        label = min((j for j in labels if outstanding[j] > 0), key=lambda j: (outstanding[j], j), default=None)
-        mine = [i for i in range(len(kinds)) if not done[i] and (label is None or kinds[i][1][label] > 0)]
-        heap = [(-sum(mean[i]), kinds[i][0], i) for i in mine]
+        finish(i)
+
+    while True:
+        while rarest and (rarest[0][0] <= 0 or rarest[0][0] != outstanding[rarest[0][1]]):
+            heapq.heappop(rarest)
+        label = rarest[0][1] if rarest else None
+        mine = [i for i in (range(len(kinds)) if label is None else having[label]) if not done[i]]
+        heap = [(-sizes[i], kinds[i][0], i) for i in mine]
         heapq.heapify(heap)
         while heap:
             _, _, i = heapq.heappop(heap)
             left = kinds[i][2]
-            size = sum(mean[i])
+            size = sizes[i]
             if left > 1000:  # in bulk, by need, within the room
                 want = [max(0.0, need[s][label] if label is not None else room[s]) for s in range(len(fractions))]
                 for s, w in enumerate(want):
@@ -137,12 +152,10 @@ def stratify(kinds: list[tuple[tuple[int, ...], tuple[int, ...], int]], fraction
                 # of the splits with room for it the one whose target lacks most of this label, then most rows at all
                 s = max(range(len(fractions)), key=lambda s: (room[s] >= size, round(need[s][label], 6) if label is not None and room[s] >= size else 0, room[s], -s))
                 put(i, s, 1)
-            done[i] = True
-            for j in labels:
-                outstanding[j] -= kinds[i][1][j]
-        if label is not None:
-            outstanding[label] = 0
-    return placed
+            finish(i)
+        if label is None:
+            return placed
+        outstanding[label] = 0
 
 
 def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
@@ -156,25 +169,26 @@ def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
     scale = sum(f for _, f in rules)
     names, fractions = [n for n, _ in rules], [f / scale for _, f in rules]
     grouped = settle(grouped, "grouped")
-    label = F.coalesce("source", F.lit(""))
-    labels = [r["l"] for r in grouped.select(label.alias("l")).groupBy("l").count().orderBy(F.desc("count"), "l").limit(LABELS).collect()]
-    counts = [F.sum((label == n).cast("long")).alias(f"n{j}") for j, n in enumerate(labels)]
-    rest = F.sum((~label.isin(labels)).cast("long")).alias(f"n{len(labels)}")
-    width = len(labels) + 1
-    comps = grouped.groupBy("group_id").agg(*counts, rest, F.count("*").alias("size"))
-    cols = [f"n{j}" for j in range(width)]
-
-    def kept(c: str):
+    each = grouped.groupBy("group_id", F.coalesce("source", F.lit("")).alias("label")).agg(F.count("*").alias("n"))
+    comps = each.groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("label", "n"))).alias("vector"), F.sum("n").alias("size"))
+
+    def kept(x):
         """The count itself in a small component, else its two leading bits."""
-        unit = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.greatest(F.col(c), F.lit(1)).cast("double"))) - 1, F.lit(0)))
-        return F.when(F.col("size") <= EXACT, F.col(c)).otherwise((F.floor(F.col(c) / unit) * unit).cast("long"))
+        n = x["n"]
+        unit = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(n.cast("double"))) - 1, F.lit(0)))
+        return F.struct(x["label"].alias("label"), F.when(F.col("size") <= EXACT, n).otherwise((F.floor(n / unit) * unit).cast("long")).alias("n"))
 
     alone = F.when(F.col("size") >= LARGE * grouped.count(), F.col("group_id"))
-    comps = comps.select("group_id", *cols, F.xxhash64(*[kept(c) for c in cols], alone).alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    comps = comps.select("group_id", "vector", F.xxhash64(F.transform("vector", kept), alone).alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
     comps = settle(comps, "comps")
-    by_salt = settle(comps.groupBy("kind", "salt").agg(F.count("*").alias("c"), *[F.sum(c).alias(c) for c in cols]), "kinds")
-    kinds = by_salt.groupBy("kind").agg(F.sum("c").alias("c"), *[F.sum(c).alias(c) for c in cols]).orderBy("kind").collect()
-    placed = stratify([((r["kind"],), tuple(r[c] for c in cols), r["c"]) for r in kinds], fractions)
+    by_salt = settle(comps.groupBy("kind", "salt").agg(F.count("*").alias("c")), "kinds")
+    kinds = by_salt.groupBy("kind").agg(F.sum("c").alias("c")).orderBy("kind").collect()
+    sums = comps.select("kind", F.explode("vector").alias("x")).groupBy("kind", F.col("x.label").alias("label")).agg(F.sum("x.n").alias("n")).collect()
+    number_of = {n: j for j, n in enumerate(sorted({r["label"] for r in sums}))}
+    vectors: dict[int, dict[int, int]] = defaultdict(dict)
+    for r in sums:
+        vectors[r["kind"]][number_of[r["label"]]] = r["n"]
+    placed = stratify([((r["kind"],), vectors[r["kind"]], r["c"]) for r in kinds], fractions)
     # components of a kind are numbered through the salts; each split takes a run of numbers
     ends = [(r["kind"], list(itertools.accumulate(row))) for r, row in zip(kinds, placed)]
     table = grouped.sparkSession.createDataFrame(ends, "kind long, ends array<long>")

@@ -81,6 +81,19 @@ def test_large_groups_of_unequal_size_are_placed_by_their_own_size(spark):
     assert got == {f"s{n}": n for n in sizes}
 
 
+def test_rare_sources_are_spread_over_the_splits(spark):
+    rows = [(e, f"s{e % 9}", e, 1) for e in range(9 * 300)]
+    rows += [(10_000 + 100 * k + i, f"t{k}", 10_000 + 100 * k + i, 1) for k in range(6) for i in range(50)]
+    grouped = spark.createDataFrame(rows, "ex_id long, source string, group_id long, group_size long")
+    source = {x[0]: x[1] for x in rows}
+    got = [(source[x["ex_id"]], x["split"]) for x in S.assign(grouped, plan(spark)).collect()]
+    assert len(got) == len(rows)
+    for label in set(source.values()):
+        mine = [s for n, s in got if n == label]
+        for name, share in (("train", 0.8), ("validation", 0.08), ("test", 0.12)):
+            assert abs(mine.count(name) - share * len(mine)) <= 1
+
+
 def test_bulk_placement_keeps_shares():
     kinds = [((0,), (5_000, 0), 5_000), ((1,), (0, 9_000), 3_000), ((2,), (7, 3), 1)]
     placed = S.stratify(kinds, [0.8, 0.08, 0.12])
