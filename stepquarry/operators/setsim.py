@@ -1,4 +1,4 @@
-"""Exact set-similarity candidates by rarest-first prefixes, in bands of size.
+"""Exact set-similarity candidates by rarest-first prefixes.
 
 Every record is a set of 64-bit token hashes. Tokens get one global order,
 rarest first, from a histogram of token counts over all records; the histogram
@@ -6,19 +6,21 @@ has ``2**HIST_BITS`` counters whatever the corpus, so it may be broadcast. Any
 total order is right, the counts only decide how selective it is.
 
 Two records can reach the threshold only if the first token they share, in that
-order, lies in a prefix of either whose length depends on the partner's weight.
-Records are therefore banded by weight (unit weights: by size), and a record
-writes one posting for each token of the prefix that a given partner band
-allows. An equi-join on (token, own band, partner band) then meets every true
-pair; the weight left from the shared token on, and for unit weights a 256-bit
-parity map of the set, drop nearly all other pairs inside the join.
+order, lies in a prefix of both. How long a prefix must be depends on which of
+the two is smaller: a partner of at least its own size must share more, so as
+the smaller one a record is held by a short prefix (``lead``), as the larger one
+by a long one. An equi-join of short with long prefixes meets every true pair
+once for each shared token; sizes, positions and a 256-bit parity map of the set
+drop nearly all other pairs inside the join.
+
+Prefixes are made in whole Arrow batches; postings are exploded from them, and
+joined, inside the JVM.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,199 +29,145 @@ from pyspark.sql import functions as F
 
 HIST_BITS = 20
 _MASK = (1 << HIST_BITS) - 1
-_RATIO = math.log(1.12)
 _EPS = 1e-9
-POSTING = "sig long, own int, oth int, gid long, weight double, suf double, bits boolean, b0 long, b1 long, b2 long, b3 long"
+MAPS = ("b0", "b1", "b2", "b3")
+PREFIX = "gid long, size int, lead int, prefix array<long>, msize int, b0 long, b1 long, b2 long, b3 long"
 
 
 @dataclass
 class Order:
-    """Token counts by bucket, shared with the executors, and the number of records."""
+    """Token counts by bucket, shared with the executors."""
 
     counts: object  # Broadcast of a numpy array
-    records: int
-    weighting: str = "unit"
-    _idf: np.ndarray | None = field(default=None, repr=False)
-
-    def weights(self, tokens: np.ndarray) -> np.ndarray:
-        """Squared term weights: 1, or the squared smoothed inverse document frequency."""
-        if self.weighting == "unit":
-            return np.ones(len(tokens))
-        df = self.counts.value[tokens & _MASK]
-        return np.log(1.0 + self.records / np.maximum(df, 1)) ** 2
-
-    def arrange(self, tokens: np.ndarray) -> np.ndarray:
-        """The tokens, rarest first."""
-        return tokens[np.lexsort((tokens, self.counts.value[tokens & _MASK]))]
-
-
-def token_order(sets: DataFrame, column: str, weighting: str = "unit") -> Order:
-    """Count the tokens of all records in buckets; one shuffle of at most 2**HIST_BITS rows a task."""
-    spark = sets.sparkSession
-    rows = (
-        sets.select(F.explode(column).alias("t"))
-        .groupBy(F.col("t").bitwiseAND(F.lit(_MASK)).cast("int").alias("b"))
-        .agg(F.count("*").alias("n"))
-        .toArrow()
-    )
-    counts = np.zeros(1 << HIST_BITS, np.int64)
-    counts[rows["b"].to_numpy()] = rows["n"].to_numpy()
-    n = sets.count() if weighting != "unit" else 0
-    return Order(spark.sparkContext.broadcast(counts), n, weighting)
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        return self.counts.value[tokens & _MASK]
+
+
+def bucket_counts(sets: DataFrame, column: str) -> DataFrame:
+    """(bucket, n): tokens of all records by bucket; at most 2**HIST_BITS rows, counted before the shuffle."""
+    return sets.select(F.explode(column).alias("t")).groupBy(F.col("t").bitwiseAND(F.lit(_MASK)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def shared_order(counts: DataFrame) -> Order:
+    """The order by (bucket, n) rows."""
+    rows, total = counts.select("bucket", "n").toArrow(), np.zeros(1 << HIST_BITS, np.int64)
+    total[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return Order(counts.sparkSession.sparkContext.broadcast(total))
+
+
+def token_order(sets: DataFrame, column: str) -> Order:
+    """The order by the counts of all tokens in ``column``."""
+    return shared_order(bucket_counts(sets, column))
 
 
 @dataclass(frozen=True)
-class Measure:
-    """Jaccard or cosine similarity of at least ``t``; ``t`` as a float."""
+class Jaccard:
+    """A Jaccard similarity of at least ``t``."""
 
-    kind: str
     t: float
 
-    def reach(self, w: float) -> tuple[float, float]:
-        """Least and greatest weight of a partner."""
-        f = self.t if self.kind == "jaccard" else self.t**2
-        return w * f * (1 - _EPS), w / f * (1 + _EPS)
+    def long_prefix(self, size):
+        """Tokens of a prefix that meets any partner."""
+        return size - np.ceil(self.t * size - _EPS) + 1
+
+    def short_prefix(self, size):
+        """Tokens of a prefix that meets any partner of at least the same size."""
+        return size - np.ceil(2 * self.t / (1 + self.t) * size - _EPS) + 1
+
+    def common(self, a: str, b: str) -> str:
+        """Least number of common tokens of two sets of these sizes, as SQL."""
+        return f"{self.t / (1 + self.t)!r}D * ({a} + {b}) - {_EPS!r}D"
 
-    def need(self, w: float, least: float) -> float:
-        """Least common weight with any partner of weight ``least`` or more."""
-        if self.kind == "jaccard":
-            return self.t / (1 + self.t) * (w + least) - _EPS * w
-        # the residual norm alone allows no less than t**2 * w, the partner's greatest weight t * sqrt(w * least)
-        return max(self.t * math.sqrt(w * least), self.t**2 * w) - _EPS * w
 
-    def need_column(self, w: Column, v: Column) -> Column:
-        if self.kind == "jaccard":
-            return F.lit(self.t / (1 + self.t)) * (w + v) - F.lit(_EPS) * w
-        return F.lit(self.t) * F.sqrt(w * v) - F.lit(_EPS) * w
+def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, sizes and starts of a list array without nulls."""
+    ends = lists.offsets.to_numpy()
+    return lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]], np.diff(ends), ends[:-1] - ends[0]
 
 
-def band(w: float) -> int:
-    return math.floor(math.log(w) / _RATIO)
+def parity_maps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per set 256 bits, each the parity of the tokens that fall on it, as four signed words."""
+    where = np.repeat(np.arange(len(sizes)), sizes) * 256 + ((values >> np.int64(24)) & 255)
+    bits = np.bincount(where, minlength=len(sizes) * 256).reshape(-1, 256) & 1
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
 
 
-def _mixed(tokens: np.ndarray, first: int, second: int, family: int) -> np.ndarray:
-    salt = (first * 0x9E3779B97F4A7C15 + second * 0xC2B2AE3D27D4EB4F + family * 0x165667B19E3779F9) & 0xFFFFFFFFFFFFFFFF
-    x = tokens.view(np.uint64) ^ np.uint64(salt)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-    return (x ^ (x >> np.uint64(28))).view(np.int64)
+def arranged(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The indices that put the tokens of each set rarest first."""
+    return np.lexsort((values, counts, np.repeat(np.arange(len(sizes)), sizes)))
 
 
-def parity_map(tokens: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the tokens that fall on it; as four signed words."""
-    bits = np.bincount((tokens >> np.int64(24)) & 255, minlength=256) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def chosen(values: np.ndarray, sizes: np.ndarray, starts: np.ndarray, keep: np.ndarray) -> pa.ListArray:
+    """The first ``keep`` values of each list."""
+    inside = np.arange(len(values)) - np.repeat(starts, sizes) < np.repeat(keep, sizes)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *keep]), pa.int32()), pa.array(values[inside]))
 
 
-def postings(sets: DataFrame, order: Order, measure: Measure, side: str, family: int = 0, beside: str | None = None) -> DataFrame:
-    """Posting rows of ``sets`` (gid, toks, and where grouped bits, weight, b0..b3).
+def prefixes(sets: DataFrame, order: Order, measure: Jaccard, of: str = "toks", mapped: str = "toks") -> DataFrame:
+    """PREFIX rows of ``sets``: the rarest-first long prefix of ``of``, of which the first ``lead`` are the short one.
 
-    ``side`` is "self" where the set is joined with itself, "a" or "b" where two
-    sets meet. ``toks`` may hold just the prefix if the columns ``weight`` and
-    b0..b3 are given. Records without tokens have no postings: their similarity is 0.
-    With ``beside``, another column of hashes, the map is that set's, and a column
-    ``size`` gives its size: so pairs can be filtered by a second similarity.
+    The parity map and its set's size ``msize`` are those of ``mapped``, so pairs
+    can be filtered by a second similarity. Records without tokens have no row:
+    their similarity is 0.
     """
-    given = "weight" in sets.columns
-    names = ["gid", "toks", *(["weight", "bits", "b0", "b1", "b2", "b3"] if given else []), *([beside] if beside else [])]
-    width = 11 + bool(beside)
-    plans: dict[float, list[tuple[int, float]]] = {}
-
-    def allowed(w: float) -> list[tuple[int, float]]:
-        if w not in plans:
-            lo, hi = measure.reach(w)
-            rows = []
-            for k in range(band(lo), band(hi) + 1):
-                least = max(math.exp(k * _RATIO) * (1 - _EPS), lo)
-                rows.append((k, measure.need(w, least)))
-            if len(plans) > 100_000:
-                plans.clear()
-            plans[w] = rows
-        return plans[w]
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gids = batch.column(0).to_numpy(zero_copy_only=False)
-            lists = batch.column(1)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            extra = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)] if given else []
-            others, ends = (batch.column(2).values.to_numpy(zero_copy_only=False), batch.column(2).offsets.to_numpy()) if beside else (None, None)
-            out: list[list] = [[] for _ in range(width)]
-            held = 0
-            for i in range(len(gids)):
-                toks = values[offsets[i] : offsets[i + 1]]
-                if not len(toks):
-                    continue
-                if given:
-                    w, known, words = float(extra[0][i]), bool(extra[1][i]), [e[i] for e in extra[2:]]
-                    suf = w - np.arange(len(toks), dtype=float)
-                else:
-                    toks = order.arrange(toks)
-                    each = order.weights(toks)
-                    suf = np.cumsum(each[::-1])[::-1]
-                    w, known, words = float(suf[0]), order.weighting == "unit", None if beside else list(parity_map(toks))
-                if beside:
-                    other = others[ends[i] : ends[i + 1]]
-                    known, words = True, [*parity_map(other), float(len(other))]
-                own = band(w)
-                for k, need in allowed(w):
-                    p = int(np.searchsorted(-suf, -need, side="right"))
-                    if not p:
-                        continue
-                    pair = (min(own, k), max(own, k)) if side == "self" else (own, k) if side == "a" else (k, own)
-                    out[0].append(_mixed(toks[:p], *pair, family))
-                    out[5].append(suf[:p])
-                    for j, v in ((1, own), (2, k), (3, gids[i]), (4, w), (6, known), *((7 + q, x) for q, x in enumerate(words))):
-                        out[j].append(np.full(p, v))
-                    held += p
-                if held > 100_000:
-                    yield _packed(out)
-                    out, held = [[] for _ in range(width)], 0
-            if held:
-                yield _packed(out)
-
-    return sets.select(*names).mapInArrow(emit, POSTING + (", size double" if beside else ""))
-
-
-def _packed(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), *[pa.int64()] * 4, pa.float64()]
-    names = [*[x.split()[0] for x in POSTING.split(", ")], "size"][: len(out)]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=t) for c, t in zip(out, kinds)], names=names)
-
-
-def parity_gap(a: str, b: str) -> Column:
-    """Least size of the symmetric difference that the parity maps prove."""
-    total = F.bit_count(F.col(f"{a}.b0").bitwiseXOR(F.col(f"{b}.b0")))
-    for i in (1, 2, 3):
-        total = total + F.bit_count(F.col(f"{a}.b{i}").bitwiseXOR(F.col(f"{b}.b{i}")))
-    return total
-
-
-def may_reach(measure: Measure, a: str = "x", b: str = "y", *, positions: bool = True) -> Column:
-    """Whether a posting pair may belong to a pair of records that reaches the measure."""
-    w, v = F.col(f"{a}.weight"), F.col(f"{b}.weight")
-    need = measure.need_column(w, v)
-    ok = F.least(w, v) >= need
-    if positions:
-        ok = ok & (F.least(F.col(f"{a}.suf"), F.col(f"{b}.suf")) >= need)
-    unknown = ~F.col(f"{a}.bits") | ~F.col(f"{b}.bits")
-    return ok & (unknown | (parity_gap(a, b) <= w + v - F.lit(2.0) * need))
-
-
-def met(left: DataFrame, right: DataFrame, measure: Measure, *, same: bool, extra: Column | None = None) -> DataFrame:
-    """Distinct pairs (a, b) of gid that share a posting and may reach the measure.
-
-    ``same``: both sides are one set; each unordered pair comes out once, a < b.
+            values, sizes, starts = flat(batch.column(1))
+            others, msizes, _ = flat(batch.column(2))
+            toks = values[arranged(values, sizes, order.of(values))]
+            keep, lead = measure.long_prefix(sizes).astype(np.int64), measure.short_prefix(sizes).astype(np.int32)
+            maps = parity_maps(others, msizes)
+            columns = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(lead), chosen(toks, sizes, starts, keep), pa.array(msizes, pa.int32()), *[pa.array(maps[:, i]) for i in range(4)]]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PREFIX.split(", ")])
+
+    rows = sets.where(F.size(of) > 0).select(F.col("gid").cast("long").alias("gid"), F.col(of).alias("_of"), F.col(mapped).alias("_map"))
+    return rows.mapInArrow(run, PREFIX)
+
+
+def postings(rows: DataFrame, *keep: str) -> DataFrame:
+    """(sig, pos, gid, size, lead boolean, msize, b0..b3 and columns ``keep``): a row for each token of each prefix."""
+    each = rows.select("gid", "size", F.col("lead").alias("_lead"), "msize", *MAPS, *keep, F.posexplode("prefix").alias("pos", "sig"))
+    return each.select("sig", "pos", "gid", "size", (F.col("pos") < F.col("_lead")).alias("lead"), "msize", *MAPS, *keep)
+
+
+def maps_allow(measure: Jaccard, x: str = "x", y: str = "y") -> Column:
+    """Whether the mapped sets may reach the measure: by their sizes, and by the symmetric difference that their parity maps prove."""
+    gap = " + ".join(f"bit_count({x}.{m} ^ {y}.{m})" for m in MAPS)
+    return F.expr(f"least({x}.msize, {y}.msize) >= {measure.common(f'{x}.msize', f'{y}.msize')} AND {gap} <= {x}.msize + {y}.msize - 2 * ({measure.common(f'{x}.msize', f'{y}.msize')})")
+
+
+def places_allow(measure: Jaccard, x: str = "x", y: str = "y") -> Column:
+    """Whether two sets whose first common token is at these positions may reach the measure."""
+    return F.expr(f"least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {measure.common(f'{x}.size', f'{y}.size')}")
+
+
+def met_within(rows: DataFrame, ok: Column, *also: Column) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of gid in postings that share a token and pass ``ok`` on x and y, the smaller set as x.
+
+    ``also`` are further columns that follow from the pair.
+    """
+    x, y = rows.where("lead").alias("x"), rows.alias("y")
+    first = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.gid") < F.col("y.gid")))
+    pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & first & ok)
+    return pairs.select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b"), *also).distinct()
+
+
+def met(asked: DataFrame, held: DataFrame, ok: Column, *, broadcast: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct (a, b, and of the held side ``keep``) of gid that share a token and pass ``ok``, asked as x and held as y.
+
+    A posting is taken in the roles that it may have, smaller or larger, so short
+    prefixes meet long ones only. ``broadcast`` sends the asked side, whose size
+    the caller has checked, to all tasks: then the held side is scanned, not moved.
     """
-    x, y = left.alias("x"), right.alias("y")
-    on = (F.col("x.sig") == F.col("y.sig")) & may_reach(measure)
-    if same:
-        x, y = x.where("own <= oth"), y.where("own >= oth")
-        on = on & (F.col("x.own") == F.col("y.oth")) & (F.col("x.oth") == F.col("y.own"))
-        on = on & ((F.col("x.own") < F.col("y.own")) | (F.col("x.gid") < F.col("y.gid")))
-    if extra is not None:
-        on = on & extra
-    pair = (F.least("x.gid", "y.gid"), F.greatest("x.gid", "y.gid")) if same else (F.col("x.gid"), F.col("y.gid"))
-    return x.join(y, on).select(pair[0].alias("a"), pair[1].alias("b")).distinct()
+    both, one = F.array(F.lit(0), F.lit(1)), F.lit(1)
+    x = asked.withColumn("role", F.explode(F.when(F.col("lead"), both).otherwise(F.array(one))))
+    y = held.withColumn("role", F.explode(F.when(F.col("lead"), both).otherwise(F.array(F.lit(0)))))
+    x, y = (F.broadcast(x) if broadcast else x).alias("x"), y.alias("y")
+    smaller = F.when(F.col("x.role") == 0, F.col("x.size") <= F.col("y.size")).otherwise(F.col("x.size") > F.col("y.size"))
+    pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.role") == F.col("y.role")) & smaller & ok)
+    return pairs.select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b"), *[F.col(f"y.{c}").alias(c) for c in keep]).distinct()
 
 
 def tenths(column_a: str, column_b: str, at_least: int) -> Column:
