@@ -1,172 +1,291 @@
 """New batches against all history: an incremental inverted index.
 
-The index is two append-only Parquet datasets in the shared folder:
-
-* ``postings``: for every accepted class of records the rarest-token prefixes in
-  bands of size (setsim.py), partitioned by a hash of the posting's token key;
-* ``sets``: the token and command sets of the accepted classes, for verification.
-
-The token order is fixed from the first history when the index is made; later
-records are ordered by it too, which stays exact and only costs selectivity as
-the vocabulary drifts (make a new index then). A batch is tokenised and writes
-its own probe rows, partitioned like the postings; the history is never tokenised,
-grouped or shuffled again. Probes meet the postings partition by partition: as many
-partitions at a time as keep the probe rows below ``PROBE_ROWS``, which are then
-broadcast, so that each posting is scanned once and moved nowhere. A partition
-whose own probes exceed that is joined by shuffle.
+The index is a folder that outlives the session that made it:
+
+* ``order``: the token counts that fix the order of tokens, taken from the first
+  history. Later records are ordered by it too, which stays exact and only costs
+  selectivity as the vocabulary drifts (make a new index then).
+* ``postings/seg=N/part=K``: the rarest-token prefixes of accepted records, in
+  segments, one an append. A segment has as many parts, by token, as its size
+  calls for (``PART_ROWS`` a part), and is sorted by token within a part.
+* ``sets/seg=N/part=K``: token and command sets of the same records, parted by
+  record, for verification.
+* ``manifest-N.json``: the segments that count. It is put in place by a rename
+  after everything it names was written, so an append that fails leaves the index
+  as it was, and ``open`` goes on where the last complete append ended.
+
+A batch is tokenised and writes its prefixes once; these probe the index, meet
+each other, and what is accepted of them is appended. The history is never
+tokenised, grouped or shuffled again: probes (broadcast up to ``PROBE_ROWS``) meet
+only those parts of the postings that hold one of their tokens, and only those
+parts of the sets that hold a candidate are read to verify. So k prefix tokens
+read at most k parts of a segment, until a batch is large enough to need them all.
+Small segments are merged ``MERGE`` at a time, so there are few of them and each
+posting is written again only as often as the logarithm of the index.
+
+A command that more than ``HOT`` records of the first history hold is no key by
+itself, as its list would grow with the corpus: it is one together with each token
+of the text's prefix at 0.5, which the second condition asks for anyway.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepquarry.functions import text as X
-from stepquarry.operators import setsim as S
 from stepquarry.llm.neardup import LOOSE, STEPS, TEXT, alike
+from stepquarry.operators import setsim as S
 from stepquarry.plans.runtime import settle, settle_counted, shared_path
 
 #: Most probe rows (about 80 bytes each) and candidate pairs that are broadcast at once.
 PROBE_ROWS = 400_000
-PARTS = 16
-SETS = "gid long, toks array<long>, cmds array<long>"
-POSTINGS = "sig long, gid long, fam int, weight double, suf double, size double, c0 long, c1 long, c2 long, c3 long, part int"
+PART_ROWS, MOST_PARTS, MERGE, HOT = 65_536, 32_768, 8, 1_000
+#: Most links within a batch that are resolved in one task; more are resolved in rounds.
+LINKS_AT_ONCE = 100_000
+SETS = "gid long, toks array<long>, cmds array<long>, at int"
+POSTINGS = "sig long, pos int, gid long, size int, lead boolean, msize int, b0 long, b1 long, b2 long, b3 long, fam int, at int"
+
+
+@dataclass
+class Manifest:
+    """Segments (seg, level, rows, parts, set_parts), the number of appends, and of this manifest."""
+
+    segments: list[dict] = field(default_factory=list)
+    appends: int = 0
+    number: int = 0
+
+
+class Store:
+    """Small files beside the index's tables, through the cluster's own file system."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str = ""):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def latest(self) -> Manifest | None:
+        """The manifest of the highest number, if there is any."""
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._path())] if self.fs.exists(self._path()) else []
+        numbers = [int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json")]
+        if not numbers:
+            return None
+        stream = self.fs.open(self._path(f"manifest-{max(numbers)}.json"))
+        try:
+            text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return Manifest(**json.loads(text))
+
+    def commit(self, m: Manifest) -> None:
+        """Put a manifest in place; fails if another writer was faster."""
+        held, final = self._path(f"pending-{m.number}"), self._path(f"manifest-{m.number}.json")
+        stream = self.fs.create(held, True)
+        stream.write(bytearray(json.dumps(m.__dict__).encode()))
+        stream.close()
+        if self.fs.exists(final) or not self.fs.rename(held, final):
+            raise RuntimeError(f"another writer has appended to {self.path}")
+
+
+def parts_for(rows: int) -> int:
+    """A power of two, so that a part of a segment follows from the low bits of the key."""
+    return min(MOST_PARTS, 1 << max(0, -(-rows // PART_ROWS) - 1).bit_length())
+
+
+def hit(bitmap: bytes | None, parts: int) -> list[int]:
+    """The parts, of so many, in which a key falls whose low bits are set in the bitmap."""
+    n = int.from_bytes(bytes(bitmap or b""), "little")
+    found, at = set(), 0
+    while n and len(found) < parts:
+        low = (n & -n).bit_length() - 1
+        at += low
+        found.add(at % parts)
+        n >>= low + 1
+        at += 1
+    return sorted(found)
+
+
+def low_bits(key: str) -> Column:
+    """An aggregate: which of the MOST_PARTS low bits patterns the keys have, as 4 KB."""
+    return F.bitmap_construct_agg(F.pmod(F.col(key), F.lit(MOST_PARTS)))
 
 
 class PrefixIndex:
     """Index of accepted records; ``sets`` rows are (gid, toks, cmds)."""
 
-    def __init__(self, spark: SparkSession, path: str, by_token: S.Order, by_command: S.Order):
-        self.spark, self.path, self.by_token, self.by_command = spark, path, by_token, by_command
-        self.appended = 0
+    def __init__(self, spark: SparkSession, path: str, manifest: Manifest):
+        self.spark, self.path, self.manifest, self.store = spark, path, manifest, Store(spark, path)
+        counts = spark.read.schema("bucket int, n long, fam int").parquet(f"{path}/order")
+        self.by_token, self.by_command = (S.shared_order(counts.where(F.col("fam") == fam)) for fam in (1, 2))
+        #: Buckets of commands that are no keys by themselves; like the order they never change.
+        self.hot = counts.where((F.col("fam") == 2) & (F.col("n") > HOT)).select(F.col("bucket").alias("_hot"))
 
     @classmethod
     def over(cls, history: DataFrame, path: str | None = None) -> PrefixIndex:
         """A new index of the settled (gid, toks, cmds) ``history``, which also fixes the token order."""
         spark = history.sparkSession
-        made = cls(spark, path or shared_path(spark, "index"), S.token_order(history, "toks"), S.token_order(history, "cmds"))
-        made.append(history)
+        path = path or shared_path(spark, "index")
+        counts = [S.bucket_counts(history, c).withColumn("fam", F.lit(fam)) for fam, c in ((1, "toks"), (2, "cmds"))]
+        counts[0].unionByName(counts[1]).coalesce(1).write.parquet(f"{path}/order")  # at most 2 * 2**20 rows
+        made = cls(spark, path, Manifest())
+        rows, counts = settle_counted(made.rows(history), "postings")
+        made.append(history, history.count(), rows, counts["n"])
         return made
 
-    def rows(self, sets: DataFrame, side: str) -> DataFrame:
-        """Postings of both conditions; those on commands carry the text's size and parity map as well."""
-        texts = S.postings(sets.select("gid", "toks", F.col("toks").alias("t")), self.by_token, TEXT, side, 1, beside="t")
-        steps = S.postings(sets.select("gid", F.col("cmds").alias("toks"), F.col("toks").alias("t")), self.by_command, STEPS, side, 2, beside="t")
-        maps = [F.col(f"b{i}").alias(f"c{i}") for i in range(4)]
-        by = lambda df, fam: df.select("sig", "gid", F.lit(fam).alias("fam"), "weight", "suf", "size", *maps)
-        return by(texts, 1).unionByName(by(steps, 2)).withColumn("part", F.pmod("sig", F.lit(PARTS)).cast("int"))
-
-    def append(self, sets: DataFrame) -> DataFrame:
-        """Add accepted records, and give them back as they were written; each partition of postings gets one more file."""
-        path = f"{self.path}/sets/part={self.appended}"
-        self.appended += 1
-        sets.select("gid", "toks", "cmds").write.parquet(path)
-        written = self.spark.read.schema(SETS).parquet(path)
-        self.rows(written, "b").repartition(PARTS, "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/postings")
-        return written
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> PrefixIndex:
+        """The index as the last complete append left it."""
+        found = Store(spark, path).latest()
+        if found is None:
+            raise FileNotFoundError(f"no index in {path}")
+        return cls(spark, path, found)
+
+    def rows(self, sets: DataFrame) -> DataFrame:
+        """Postings of both conditions (POSTINGS but for ``at``); those on commands carry the text's size and parity map."""
+        texts = S.postings(S.prefixes(sets, self.by_token, TEXT)).withColumn("fam", F.lit(1))
+        steps = S.postings(S.prefixes(sets, self.by_command, STEPS, of="cmds")).withColumn("fam", F.lit(2))
+        if (self.by_command.counts.value > HOT).any():
+            half = S.prefixes(sets, self.by_token, LOOSE).select("gid", F.col("prefix").alias("half"))
+            bucket = F.col("sig").bitwiseAND(F.lit((1 << S.HIST_BITS) - 1)) == F.col("_hot")
+            split = steps.join(F.broadcast(self.hot), bucket, "left_semi").join(half, "gid").withColumn("sig", F.explode(F.transform("half", lambda t: F.xxhash64("sig", t)))).drop("half")
+            steps = steps.join(F.broadcast(self.hot), bucket, "left_anti").unionByName(split)
+        # texts and commands never share a key
+        return texts.unionByName(steps.withColumn("sig", F.xxhash64(F.lit(2), "sig")))
+
+    def append(self, sets: DataFrame, n_sets: int, postings: DataFrame, n_postings: int) -> None:
+        """Add accepted records, of the settled ``sets`` and their ``postings``, as one segment."""
+        m = self.manifest
+        at = F.lit(m.appends).cast("int")
+        seg = self._write(len(self._all()), sets.select("gid", "toks", "cmds", at.alias("at")), n_sets, postings.withColumn("at", at), n_postings)
+        self._commit([*m.segments, seg], m.appends + 1)
+        self._merge()
+
+    def _all(self) -> range:
+        """Numbers of the segments ever named, dropped ones included."""
+        return range(1 + max([s["seg"] for s in self.manifest.segments], default=-1))
+
+    def _commit(self, segments: list[dict], appends: int) -> None:
+        new = Manifest(segments, appends, self.manifest.number + 1)
+        self.store.commit(new)
+        self.manifest = new
+
+    def _write(self, seg: int, sets: DataFrame, n_sets: int, postings: DataFrame, n_postings: int) -> dict:
+        level, k = 0, n_postings // PART_ROWS
+        while k >= MERGE:
+            level, k = level + 1, k // MERGE
+        out = {"seg": seg, "level": level, "rows": n_postings, "sets": n_sets, "parts": parts_for(n_postings), "set_parts": parts_for(4 * n_sets)}
+        for name, df, key, parts in (("postings", postings, "sig", out["parts"]), ("sets", sets, "gid", out["set_parts"])):
+            parted = df.withColumn("part", F.pmod(F.col(key), F.lit(parts)).cast("int")).repartition(parts, "part").sortWithinPartitions("part", key)
+            # files of an append that failed earlier may be there
+            parted.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{name}/seg={seg}")
+        return out
+
+    def _merge(self) -> None:
+        """Make one segment of ``MERGE`` of one level, as long as there are so many. Old files stay until ``vacuum``."""
+        while True:
+            levels: dict[int, list[dict]] = {}
+            for s in self.manifest.segments:
+                levels.setdefault(s["level"], []).append(s)
+            old = next((v for v in levels.values() if len(v) >= MERGE), None)
+            if old is None:
+                return
+            new = self._write(len(self._all()), self._read("sets", old), sum(s["sets"] for s in old), self._read("postings", old), sum(s["rows"] for s in old))
+            new["level"] = max(new["level"], old[0]["level"] + 1)
+            self._commit([s for s in self.manifest.segments if s not in old] + [new], self.manifest.appends)
+
+    def vacuum(self) -> None:
+        """Delete the files that no segment of the manifest names; for when nothing read before is used any more."""
+        named = {s["seg"] for s in self.manifest.segments}
+        for seg in set(self._all()) - named:
+            for name in ("postings", "sets"):
+                self.store.fs.delete(self.store._path(f"{name}/seg={seg}"), True)
+
+    def _read(self, name: str, segments: list[dict], bitmap: bytes | None = None) -> DataFrame:
+        """Rows of the segments; with a bitmap of low bits only the parts that it hits."""
+        schema = POSTINGS if name == "postings" else SETS
+        out = None
+        for s in segments:
+            rows = self.spark.read.schema(f"{schema}, part int").parquet(f"{self.path}/{name}/seg={s['seg']}") if s["rows" if name == "postings" else "sets"] else self.spark.createDataFrame([], f"{schema}, part int")
+            parts = s["parts"] if name == "postings" else s["set_parts"]
+            if bitmap is not None and len(wanted := hit(bitmap, parts)) < parts:
+                rows = rows.where(F.col("part").isin(wanted))
+            out = rows if out is None else out.unionByName(rows)
+        return (self.spark.createDataFrame([], f"{schema}, part int") if out is None else out).drop("part")
 
     def sets(self, since: int = 0) -> DataFrame:
-        """The accepted records, or those of the appends from number ``since`` on."""
-        return self.spark.read.schema(SETS + ", part int").parquet(f"{self.path}/sets").where(F.col("part") >= since).drop("part")
-
-    def probe(self, sets: DataFrame) -> DataFrame:
-        """Pairs (a, b) of settled ``sets`` and the indexed records that they are alike."""
-        held = self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
-        each = {f"p{i}": F.count_if(F.col("part") == i) for i in range(PARTS)}
-        asked, counts = settle_counted(self.rows(sets, "a"), "probes", **each)
-        pairs, n = None, 0
-        for parts, small in blocks([counts[f"p{i}"] for i in range(PARTS)]):
-            probes = asked.where(F.col("part").isin(parts))
-            met, found = settle_counted(meet(F.broadcast(probes) if small else probes, held.where(F.col("part").isin(parts))), "candidates")
-            pairs, n = met if pairs is None else pairs.unionByName(met), n + found["n"]
-        if not n:
-            return sets.select(F.col("gid").alias("a"), F.col("gid").alias("b")).limit(0)
+        """The accepted records (gid, toks, cmds), or those of the appends from number ``since`` on."""
+        return self._read("sets", self.manifest.segments).where(F.col("at") >= since).drop("at")
+
+    def links(self, sets: DataFrame, n_sets: int) -> tuple[DataFrame, dict[str, int], DataFrame]:
+        """Settled links (a, b, old) of settled ``sets``, their counts, and the settled postings of ``sets``.
+
+        a is alike b, which is indexed (old) or another of ``sets`` with a lesser gid.
+        """
+        rows, seen = settle_counted(self.rows(sets), "probes", bits=low_bits("sig"))
+        held = self._read("postings", self.manifest.segments, seen["bits"]).drop("at").withColumn("old", F.lit(True))
+        held = held.unionByName(rows.withColumn("old", F.lit(False)))
+        fits = F.when(F.col("x.fam") == 1, S.places_allow(TEXT) & S.maps_allow(TEXT)).otherwise(S.places_allow(STEPS) & S.maps_allow(LOOSE))
+        ok = fits & (F.col("y.old") | (F.col("y.gid") < F.col("x.gid")))
+        pairs, found = settle_counted(S.met(rows, held, ok, broadcast=seen["n"] <= PROBE_ROWS, keep=("old",)), "candidates", bits=low_bits("b"))
         a = sets.select(F.col("gid").alias("a"), F.col("toks").alias("a_toks"), F.col("cmds").alias("a_cmds"))
-        b = self.sets().select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"))
-        pairs = pairs.distinct()
-        return (F.broadcast(pairs) if n <= PROBE_ROWS else pairs).join(b, "b").join(a, "a").where(alike()).select("a", "b")
+        b = self._read("sets", self.manifest.segments, found["bits"]).select("gid", "toks", "cmds", F.lit(True).alias("old")).unionByName(sets.select("gid", "toks", "cmds", F.lit(False).alias("old")))
+        b = b.select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"), "old")
+        both = (F.broadcast(pairs) if found["n"] <= PROBE_ROWS else pairs).join(b, ["b", "old"]).join(a, "a").where(alike()).select("a", "b", "old")
+        out, counts = settle_counted(both, "links")
+        return out, counts | {"postings": seen["n"], "candidates": found["n"]}, rows
 
-    def within(self, sets: DataFrame) -> tuple[DataFrame, int]:
-        """Settled pairs (a, b), a < b, of gid in settled ``sets`` that are alike, and their number."""
-        pairs = meet(self.rows(sets, "a"), self.rows(sets, "b"), F.col("x.gid") < F.col("y.gid"))
-        a = sets.select(F.col("gid").alias("a"), F.col("toks").alias("a_toks"), F.col("cmds").alias("a_cmds"))
-        b = sets.select(F.col("gid").alias("b"), F.col("toks").alias("b_toks"), F.col("cmds").alias("b_cmds"))
-        found, counts = settle_counted(pairs.join(a, "a").join(b, "b").where(alike()).select("a", "b"), "within")
-        return found, counts["n"]
-
-
-def blocks(counts: list[int]) -> list[tuple[list[int], bool]]:
-    """Partitions of the probes, by their row counts, to be taken together, and whether their rows may be broadcast."""
-    out: list[tuple[list[int], bool]] = []
-    room = 0
-    for part, n in enumerate(counts):
-        if not n:
-            continue
-        if out and out[-1][1] and n <= room:
-            out[-1][0].append(part)
-            room -= n
-        else:
-            out.append(([part], n <= PROBE_ROWS))
-            room = PROBE_ROWS - n
-    return out
-
-
-def meet(asked: DataFrame, held: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Distinct (a, b) of probes and postings with one key that sizes, positions and parity maps allow."""
-    x, y = asked.drop("part").alias("x"), held.drop("part").alias("y")
-    gap = F.bit_count(F.col("x.c0").bitwiseXOR(F.col("y.c0")))
-    for i in (1, 2, 3):
-        gap = gap + F.bit_count(F.col(f"x.c{i}").bitwiseXOR(F.col(f"y.c{i}")))
-    sizes = F.col("x.size"), F.col("y.size")
-
-    def fits(m: S.Measure, own: S.Measure) -> Column:
-        need = m.need_column(*sizes)
-        mine = own.need_column(F.col("x.weight"), F.col("y.weight"))
-        return (F.least(*sizes) >= need) & (gap <= sizes[0] + sizes[1] - 2.0 * need) & (F.least("x.suf", "y.suf") >= mine) & (F.least("x.weight", "y.weight") >= mine)
-
-    ok = F.when(F.col("x.fam") == 1, fits(TEXT, TEXT)).otherwise(fits(LOOSE, STEPS))
-    on = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.fam") == F.col("y.fam")) & ok
-    if extra is not None:
-        on = on & extra
-    return x.join(y, on).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).distinct()
-
-
-def first_wins(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Settled gids of ``nodes`` kept when they are taken by gid and one is refused if an earlier kept one is alike.
-
-    ``pairs`` (a, b), a < b, lie among the nodes. In every round the nodes without
-    an undecided earlier neighbour are decided; the rounds are as many as the
-    longest chain of alternating decisions, and only nodes with pairs take part.
+
+def first_wins(links: DataFrame, n: int) -> DataFrame:
+    """The gids that are refused when records are taken by gid: those alike an indexed record or an earlier kept one.
+
+    ``links`` (a, b, old) are n settled rows. Up to LINKS_AT_ONCE they are taken in
+    order in one task. More are resolved in rounds: in each the nodes without an
+    undecided earlier neighbour are kept and refuse their neighbours.
     """
-    open_, kept = pairs, nodes.join(pairs.select(F.col("b").alias("gid")).distinct(), "gid", "left_anti")
-    kept = settle(kept.select("gid"), "kept")
-    frontier = kept
+    if n <= LINKS_AT_ONCE:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: set[int] = set()
+            for batch in batches:
+                for a, b, old in zip(*(c.to_pylist() for c in batch.columns)):
+                    if old or b not in out:
+                        out.add(a)
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.int64())], names=["gid"])
+
+        return links.select("a", "b", "old").coalesce(1).sortWithinPartitions("a", "b").mapInArrow(run, "gid long")
+    refused = gone = settle(links.where("old").select(F.col("a").alias("gid")).distinct(), "refused")
+    open_ = links.where("not old").select("a", "b")
     while True:
-        refused = open_.join(frontier.select(F.col("gid").alias("a")), "a", "left_semi").select(F.col("b").alias("gid")).distinct()
-        refused = settle(refused, "refused")
-        gone = refused.select(F.col("gid").alias("a")), refused.select(F.col("gid").alias("b"))
-        # a refused node refuses nothing, and nothing more can happen to it
-        rest = settle(open_.join(gone[0], "a", "left_anti").join(gone[1], "b", "left_anti").join(frontier.select(F.col("gid").alias("a")), "a", "left_anti"), "open")
-        waiting = open_.select("b").join(gone[1], "b", "left_anti").join(rest.select("b").distinct(), "b", "left_anti").distinct()
-        frontier = settle(waiting.select(F.col("b").alias("gid")), "frontier")
-        kept = kept.unionByName(frontier)
-        open_ = rest
-        if rest.isEmpty():
-            # nodes decided last may still be the last of their pairs
-            return kept.distinct()
-
-
-def ingest(index: PrefixIndex, batch: DataFrame) -> DataFrame:
-    """Take one batch of (key, toks, cmds): append what is accepted to the index and return it, as (gid, toks, cmds).
+        rest = open_.join(refused.withColumnRenamed("gid", "a"), "a", "left_anti").join(refused.withColumnRenamed("gid", "b"), "b", "left_anti")
+        open_, left = settle_counted(rest, "open")
+        if not left["n"]:
+            return gone
+        free = open_.select("b").distinct().join(open_.select(F.col("a").alias("b")), "b", "left_anti")
+        refused = settle(open_.join(free, "b", "left_semi").select(F.col("a").alias("gid")).distinct(), "refused")
+        gone = gone.unionByName(refused)
+
+
+def ingest(index: PrefixIndex, batch: DataFrame) -> dict[str, int]:
+    """Take one batch of (key, toks, cmds): append what is accepted to the index. Gives counts of what was done.
 
     Records are taken by key. Rows with equal sets are one class led by its least
     key; the others are refused with it or because of it. Records without tokens
-    are alike nothing: they are accepted, need no postings and aren't returned.
+    are alike nothing: they are accepted and need no postings.
     """
-    firsts = settle(leaders(batch), "leaders")
-    left = settle(firsts.join(index.probe(firsts).select(F.col("a").alias("gid")), "gid", "left_anti"), "left")
-    pairs, n = index.within(left)
-    return index.append(left.join(first_wins(left.select("gid"), pairs), "gid", "left_semi") if n else left)
+    firsts, size = settle_counted(leaders(batch), "leaders")
+    links, counts, rows = index.links(firsts, size["n"])
+    refused, gone = settle_counted(first_wins(links, counts["n"]), "refused")
+    small = F.broadcast(refused) if gone["n"] <= PROBE_ROWS else refused
+    index.append(firsts.join(small, "gid", "left_anti"), size["n"] - gone["n"], rows.join(small, "gid", "left_anti"), counts["postings"])
+    return counts | {"records": size["n"], "refused": gone["n"]}
 
 
 def leaders(batch: DataFrame) -> DataFrame:

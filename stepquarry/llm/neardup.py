@@ -8,7 +8,14 @@ more, or 0.5 or more while that of their command sets is 0.8 or more.
   only groups write postings. Group pairs are filtered by size and position,
   then expanded to member pairs, filtered by parity maps, and verified exactly.
 * The first condition joins on token prefixes at 0.7. The second joins on command
-  prefixes at 0.8 and uses 0.5 on tokens as a filter, so no join runs at 0.5.
+  prefixes at 0.8 and uses 0.5 on tokens as a filter.
+* A group may hold a large part of all rows: one stock figure under many different
+  statements. Its members are never paired with each other directly. They are
+  joined once more: for the second condition on (group pair, token of the text's
+  prefix at 0.5), for the first, where all members of a group share a prefix, on
+  (group, one of the next tokens after it). So what a hot group costs follows its
+  members. Only pairs of two different groups with near-equal text prefixes are
+  expanded as they are, with size and parity map tested inside the join.
 
 Null or empty statements have no tokens, thus similarity 0 to everything and no
 pairs. Null steps count as no commands. Extra columns are ignored.
@@ -18,18 +25,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepquarry.functions import text as X
-from stepquarry.operators import setsim as S
 from stepquarry.llm.components import components
+from stepquarry.operators import setsim as S
 from stepquarry.plans.runtime import settle
 
-TEXT = S.Measure("jaccard", 0.7)
-LOOSE = S.Measure("jaccard", 0.5)
-STEPS = S.Measure("jaccard", 0.8)
+TEXT = S.Jaccard(0.7)
+LOOSE = S.Jaccard(0.5)
+STEPS = S.Jaccard(0.8)
+PAIR = ("a", "b")
 
 
 def record_sets(df: DataFrame, key: Column, statement: Column, steps: Column) -> DataFrame:
@@ -57,58 +66,71 @@ def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return firsts.select("gid", "toks", "cmds"), members
 
 
-def prefix_groups(sets: DataFrame, order: S.Order, measure: S.Measure) -> DataFrame:
-    """Settled rows (gid, group, weight, toks, b0..b3): the rarest-first prefix of each set, and its group's id.
+def grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Settled groups (PREFIX columns, n) of settled prefix rows, and (group, gid) of the members of those with several.
 
-    A group holds the sets with one size and one prefix; its id is its least gid.
+    A group holds the sets with one size and one prefix; its gid is its least. The
+    parity map counts only where n is 1.
     """
-    schema = "gid long, weight double, toks array<long>, b0 long, b1 long, b2 long, b3 long"
+    keys = {"p1": F.xxhash64("size", "prefix"), "p2": F.xxhash64(F.lit(977), "size", "prefix")}
+    rows = rows.withColumns(keys)
+    firsts = rows.groupBy(*keys).agg(F.min("gid").alias("gid"), F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("size", "lead", "prefix", "msize", *S.MAPS)])
+    firsts = settle(firsts, "groups")
+    several = firsts.where("n > 1").select(*keys, F.col("gid").alias("group"))
+    return firsts.drop(*keys), settle(rows.select("gid", *keys).join(several, [*keys]).select("group", "gid"), "members")
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            cut, words, sizes = [], [], []
-            for i in range(batch.num_rows):
-                toks = values[offsets[i] : offsets[i + 1]]
-                n = len(toks)
-                least = measure.need(n, measure.reach(n)[0])
-                keep = int(n - least) + 1 if n else 0
-                cut.append(order.arrange(toks)[: max(keep, 1)])
-                words.append(S.parity_map(toks))
-                sizes.append(float(n))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.float64()), pa.array(cut, pa.list_(pa.int64())), *[pa.array([w[q] for w in words], pa.int64()) for q in range(4)]],
-                names=["gid", "weight", "toks", "b0", "b1", "b2", "b3"],
-            )
-
-    rows = sets.select("gid", "toks").where(F.size("toks") > 0).mapInArrow(prefixes, schema)
-    rows = settle(rows.withColumn("p1", F.xxhash64("weight", "toks")).withColumn("p2", F.xxhash64(F.lit(977), "weight", "toks")), "prefix")
-    ids = rows.groupBy("p1", "p2").agg(F.min("gid").alias("group"))
-    return settle(rows.join(ids, ["p1", "p2"]).drop("p1", "p2"), "grouped")
-
-
-def group_postings(grouped: DataFrame, order: S.Order, measure: S.Measure, family: int) -> DataFrame:
-    """One set of postings a group; a parity map is known only where the group has one member."""
-    whole = grouped.groupBy("group").agg(F.count("*").alias("n"), F.first("weight").alias("weight"), F.first("toks").alias("toks"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(4)])
-    whole = whole.select(F.col("group").alias("gid"), "toks", "weight", (F.col("n") == 1).alias("bits"), "b0", "b1", "b2", "b3")
-    return S.postings(whole, order, measure, "self", family)
-
-
-def expanded(pairs: DataFrame, grouped: DataFrame, maps: DataFrame, filter_by: S.Measure) -> DataFrame:
-    """Member pairs (a, b), a < b, of group pairs, and of the pairs within a group, that the text's size and parity map allow.
-
-    The pairs within one group are told apart inside the join: what it emits is
-    only what passes the filter, and a hot group is split by the skew join.
+
+def group_pairs(groups: DataFrame, measure: S.Jaccard, mapped: S.Jaccard) -> DataFrame:
+    """Settled pairs (a, b, several) of groups whose postings meet; several: either has more than one member."""
+    rows = S.postings(groups, "n")
+    known = (F.col("x.n") > 1) | (F.col("y.n") > 1) | S.maps_allow(mapped)
+    pairs = S.met_within(rows, S.places_allow(measure) & known, ((F.col("x.n") > 1) | (F.col("y.n") > 1)).alias("several"))
+    return settle(pairs, "met")
+
+
+def expanded(pairs: DataFrame, members: DataFrame, keyed: DataFrame, within: DataFrame | None, ok: Column) -> DataFrame:
+    """Member pairs (a, b), a < b, of group pairs with several members, and of the pairs within one group.
+
+    ``keyed`` are postings of single records: members meet by (group pair, token)
+    only. ``within`` are other such postings for the pairs inside one group.
+    """
+    across = pairs.where("several").select(*PAIR)
+    inside = members.select(F.col("group").alias("a"), F.col("group").alias("b")).distinct()
+    sides = [(across, keyed), (inside, within)] if within is not None else [(across.unionByName(inside), keyed)]
+    out = None
+    for wanted, rows in sides:
+        ends = wanted.select(F.col("a").alias("group")).unionByName(wanted.select(F.col("b").alias("group"))).distinct()
+        held = ends.join(members, "group", "left").select("group", F.coalesce("gid", "group").alias("gid")).join(rows, "gid")
+        x = wanted.join(held.withColumnRenamed("group", "a"), "a").alias("x")
+        y = wanted.join(held.withColumnRenamed("group", "b"), "b").alias("y")
+        on = (F.col("x.a") == F.col("y.a")) & (F.col("x.b") == F.col("y.b")) & (F.col("x.sig") == F.col("y.sig")) & ((F.col("x.a") < F.col("x.b")) | (F.col("x.gid") < F.col("y.gid"))) & ok
+        found = x.join(y, on).select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def next_tokens(sets: DataFrame, order: S.Order, measure: S.Jaccard) -> DataFrame:
+    """Postings of the tokens after the long prefix by which two sets with one size and prefix must meet again.
+
+    Of n tokens they share a prefix of p and need 2t/(1+t) n in all: so they share
+    one of the next n - ceil(2t/(1+t) n) + 1, unless the prefix alone is enough.
+    Then they meet at a key that all have.
     """
-    slim = grouped.select("gid", "group").join(maps.select("gid", "weight", "bits", "b0", "b1", "b2", "b3"), "gid")
-    slim = settle(slim, "slim")
-    several = slim.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select(F.col("group").alias("a"), F.col("group").alias("b"))
-    pairs = pairs.unionByName(several)
-    left = pairs.join(slim.select(F.col("group").alias("a"), F.struct("gid", "weight", "bits", "b0", "b1", "b2", "b3").alias("x")), "a")
-    both = left.join(slim.select(F.col("group").alias("b"), F.struct("gid", "weight", "bits", "b0", "b1", "b2", "b3").alias("y")), "b")
-    ok = both.where(((F.col("a") < F.col("b")) | (F.col("x.gid") < F.col("y.gid"))) & S.may_reach(filter_by, positions=False))
-    return ok.select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, sizes, starts = S.flat(batch.column(1))
+            toks = values[S.arranged(values, sizes, order.of(values))]
+            cut, more = measure.long_prefix(sizes).astype(np.int64), measure.short_prefix(sizes).astype(np.int64)
+            place = np.arange(len(values)) - np.repeat(starts, sizes)
+            late = (place >= np.repeat(cut, sizes)) & (place < np.repeat(cut + more, sizes))
+            taken = np.add.reduceat(late.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+            enough = cut >= sizes - more + 1
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *taken]), pa.int32()), pa.array(toks[late]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(enough), lists], names=["gid", "enough", "next"])
+
+    rows = sets.select("gid", "toks").mapInArrow(run, "gid long, enough boolean, next array<long>")
+    return rows.select("gid", F.explode(F.when(F.col("enough"), F.array(F.lit(0).cast("long"))).otherwise(F.col("next"))).alias("sig"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -119,15 +141,22 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def class_links(sets: DataFrame) -> DataFrame:
-    """Settled pairs (a, b), a < b, of alike classes among (gid, toks, cmds)."""
+    """Settled pairs (a, b), a < b, of alike classes among settled (gid, toks, cmds)."""
     by_token, by_command = S.token_order(sets, "toks"), S.token_order(sets, "cmds")
-    texts = prefix_groups(sets, by_token, TEXT)
-    maps = texts.select("gid", "weight", F.lit(True).alias("bits"), "b0", "b1", "b2", "b3")
-    p = group_postings(texts, by_token, TEXT, 1)
-    near = expanded(S.met(p, p, TEXT, same=True), texts, maps, TEXT)
-    steps = prefix_groups(sets.select("gid", F.col("cmds").alias("toks")), by_command, STEPS)
-    q = group_postings(steps, by_command, STEPS, 2)
-    drawn = expanded(S.met(q, q, STEPS, same=True), steps, maps, LOOSE)
+    texts = settle(S.prefixes(sets, by_token, TEXT), "texts")
+    steps = settle(S.prefixes(sets, by_command, STEPS, of="cmds"), "steps")
+    maps = texts.select("gid", "msize", *S.MAPS)
+
+    groups, members = grouped(texts)
+    pairs = group_pairs(groups, TEXT, TEXT)
+    late = next_tokens(sets.join(members.select("gid"), "gid", "left_semi"), by_token, TEXT).join(maps, "gid")
+    near = pairs.where("not several").select(*PAIR).unionByName(expanded(pairs, members, maps.withColumn("sig", F.lit(0)), late, S.maps_allow(TEXT)))
+
+    groups, members = grouped(steps)
+    pairs = group_pairs(groups, STEPS, LOOSE)
+    wanted = members.select("gid").unionByName(pairs.where("several").select(F.col("a").alias("gid"))).unionByName(pairs.where("several").select(F.col("b").alias("gid"))).distinct()
+    half = S.postings(S.prefixes(sets.join(wanted, "gid", "left_semi"), by_token, LOOSE))
+    drawn = pairs.where("not several").select(*PAIR).unionByName(expanded(pairs, members, half, None, S.places_allow(LOOSE) & S.maps_allow(LOOSE)))
     return settle(verified(near.unionByName(drawn).distinct(), sets), "links")
 
 

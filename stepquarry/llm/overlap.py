@@ -1,19 +1,30 @@
 """Same or near-same records across splits: the weighted cosine join.
 
 Both sides become unit vectors over tokens, with weights of 1 or by inverse
-document frequency. Inverted lists hold, of every vector, only the rarest terms
-up to where what is left cannot reach the threshold: the residual norm bounds
-the dot product with any partner, and the greatest weight that a term can have
-in a partner's band bounds it more tightly (for terms of squared weight w the
-partner's weight is sqrt(w) over its norm, greatest at the band's least norm).
-Vectors that meet in a list get their exact dot product.
+document frequency, rarest terms first. Inverted lists hold, of every vector, only
+the terms up to where what is left cannot reach the threshold t against any vector
+of the other side:
+
+* residual norm: what is left of a unit vector has norm r, and its dot product with
+  a unit vector is r at most;
+* maximum weight: it is at most the sum of its weights, each times the greatest
+  weight that the term has in any vector of the other side. The greatest weights are
+  gathered over all vectors, in ``2**BITS`` counters (the greatest of the terms
+  that share one), so they may be broadcast.
+
+An entry of a list holds the term, the vector, the residual norm and the bound by
+maximum weights from there on. Two vectors that meet in a list are taken on only
+if the product of their residual norms and the bounds of both reach t; then they
+get their exact dot product.
 
 With unit weights a Jaccard similarity of j implies a cosine of at least
 2j / (1 + j), so the join at that threshold loses no pair and an exact test of
 the Jaccard similarity may follow.
 
 Null and empty texts have no terms and no pairs. Rows with equal token sets are
-one class on either side and are expanded only for the result.
+one class on either side and are expanded only for the result. Weights by
+frequency are ln(1 + N / n) for a term in n of the N classes of both sides,
+counted exactly.
 """
 
 from __future__ import annotations
@@ -22,12 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepquarry.functions import text as X
 from stepquarry.operators import setsim as S
-from stepquarry.plans.runtime import settle
+from stepquarry.plans.runtime import settle, small_side
+
+BITS = 20
+#: Rounding may not lose a pair at the threshold.
+SLACK = 1e-9
+#: Most terms whose exact counts are broadcast; more are joined by shuffle.
+TERMS = 1_000_000
+LISTS = "sig long, gid long, rest double, bound double"
 
 
 def user_messages(train: DataFrame) -> DataFrame:
@@ -46,27 +64,103 @@ def classes_of(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return firsts.select("gid", "toks"), members
 
 
+def unit_vectors(sets: DataFrame, order: S.Order) -> DataFrame:
+    """(gid, terms, weights) of (gid, toks): all weights equal, rarest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, sizes, _ = S.flat(batch.column(1))
+            ends = pa.array(np.cumsum([0, *sizes]), pa.int32())
+            terms = values[S.arranged(values, sizes, order.of(values))]
+            weights = np.repeat(1 / np.sqrt(np.maximum(sizes, 1)), sizes)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(terms)), pa.ListArray.from_arrays(ends, pa.array(weights))], names=["gid", "terms", "weights"])
+
+    return sets.select("gid", "toks").mapInArrow(run, "gid long, terms array<long>, weights array<double>")
+
+
+def frequencies(*sides: DataFrame) -> tuple[DataFrame, int]:
+    """Settled exact (term, n) over the classes of all sides, and the number of classes."""
+    both = sides[0].select("toks")
+    for s in sides[1:]:
+        both = both.unionByName(s.select("toks"))
+    return settle(both.select(F.explode("toks").alias("term")).groupBy("term").agg(F.count("*").alias("n")), "terms"), both.count()
+
+
+def idf_vectors(sets: DataFrame, terms: DataFrame, records: int) -> DataFrame:
+    """(gid, terms, weights) of (gid, toks) by the exact frequencies (term, n), rarest first."""
+    each = sets.select("gid", F.explode("toks").alias("term")).join(small_side(terms, TERMS), "term")
+    rows = each.groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("n", "term"))).alias("v"))
+    raw = rows.select("gid", F.transform("v", lambda t: t["term"]).alias("terms"), F.transform("v", lambda t: F.log1p(F.lit(float(records)) / t["n"])).alias("w"))
+    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda a, w: a + w * w))
+    return raw.withColumn("_norm", norm).select("gid", "terms", F.transform("w", lambda w: w / F.col("_norm")).alias("weights"))
+
+
+def greatest(vectors: DataFrame) -> np.ndarray:
+    """The greatest weight of the terms of each counter; at most 2**BITS rows a task are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.zeros(1 << BITS)
+        for batch in batches:
+            terms, weights = S.flat(batch.column(0))[0], S.flat(batch.column(1))[0]
+            np.maximum.at(best, terms & ((1 << BITS) - 1), weights)
+        used = np.flatnonzero(best)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(best[used])], names=["k", "w"])
+
+    rows = vectors.select("terms", "weights").mapInArrow(run, "k int, w double").groupBy("k").agg(F.max("w").alias("w")).toArrow()
+    out = np.zeros(1 << BITS)
+    out[rows["k"].to_numpy()] = rows["w"].to_numpy()
+    return out
+
+
+def lists(vectors: DataFrame, theirs: np.ndarray, t: float) -> DataFrame:
+    """LISTS entries of (gid, terms, weights) for a join at t with vectors whose greatest weights are ``theirs``."""
+    shared = vectors.sparkSession.sparkContext.broadcast(theirs)
+
+    def suffixes(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Sums from each place to the end of its list."""
+        total = np.cumsum(x)
+        return np.repeat(total[np.cumsum(sizes) - 1], sizes) - total + x
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, sizes, _ = S.flat(batch.column(1))
+            weights = S.flat(batch.column(2))[0]
+            rest = np.sqrt(np.maximum(suffixes(weights * weights, sizes), 0))
+            bound = suffixes(weights * shared.value[terms & ((1 << BITS) - 1)], sizes)
+            keep = (rest >= t - SLACK) & (bound >= t - SLACK)
+            gids = np.repeat(batch.column(0).to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (terms, gids, rest, bound)], names=["sig", "gid", "rest", "bound"])
+
+    return vectors.where(F.size("terms") > 0).mapInArrow(run, LISTS)
+
+
 def cosine_join(left: DataFrame, right: DataFrame, t: float, *, weighting: str = "unit") -> DataFrame:
-    """Pairs (a, b, dot) of (gid, toks) of either side with a cosine of at least ``t``."""
-    order = S.token_order(left.select("toks").unionByName(right.select("toks")), "toks", weighting)
-    measure = S.Measure("cosine", t)
-    pairs = S.met(S.postings(left, order, measure, "a"), S.postings(right, order, measure, "b"), measure, same=False)
+    """Pairs (a, b, dot) of settled (gid, toks) of either side with a cosine of at least ``t``; weighting "unit" or "idf"."""
+    if weighting == "unit":
+        order = S.token_order(left.select("toks").unionByName(right.select("toks")), "toks")
+        x, y = (unit_vectors(s, order) for s in (left, right))
+    else:
+        terms, n = frequencies(left, right)
+        x, y = (settle(idf_vectors(s, terms, n), "vectors") for s in (left, right))
+    most = greatest(x), greatest(y)
+    p, q = lists(x, most[1], t).alias("p"), lists(y, most[0], t).alias("q")
+    near = f"p.sig = q.sig AND p.rest * q.rest >= {t - SLACK!r}D"
+    pairs = p.join(q, F.expr(near)).select(F.col("p.gid").alias("a"), F.col("q.gid").alias("b")).distinct()
+    if weighting == "unit":  # then the dot product is a count, and the JVM has it
+        held = pairs.join(left.select(F.col("gid").alias("a"), F.col("toks").alias("x")), "a").join(right.select(F.col("gid").alias("b"), F.col("toks").alias("y")), "b")
+        dot = F.size(F.array_intersect("x", "y")) / F.sqrt(F.size("x").cast("double") * F.size("y"))
+        return held.select("a", "b", dot.alias("dot")).where(F.col("dot") >= t - SLACK)
 
     def dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.asarray(x.values), np.asarray(y.values)
-                both = order.weights(np.intersect1d(x, y, assume_unique=True)).sum()
-                out.append(both / np.sqrt(order.weights(x).sum() * order.weights(y).sum()))
+            for tx, wx, ty, wy in zip(*(batch.column(i) for i in range(2, 6))):
+                _, i, j = np.intersect1d(np.asarray(tx.values), np.asarray(ty.values), assume_unique=True, return_indices=True)
+                out.append(float(np.asarray(wx.values)[i] @ np.asarray(wy.values)[j]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "dot"])
 
-    a = left.select(F.col("gid").alias("a"), F.col("toks").alias("x"))
-    b = right.select(F.col("gid").alias("b"), F.col("toks").alias("y"))
-    held = pairs.join(a, "a").join(b, "b")
-    if weighting == "unit":  # then the dot product is a count, and the JVM has it
-        return held.select("a", "b", (F.size(F.array_intersect("x", "y")) / F.sqrt(F.size("x").cast("double") * F.size("y"))).alias("dot")).where(F.col("dot") >= t - 1e-9)
-    return held.select("a", "b", "x", "y").mapInArrow(dots, "a long, b long, dot double").where(F.col("dot") >= t - 1e-9)
+    held = pairs.join(x.select(F.col("gid").alias("a"), F.col("terms").alias("tx"), F.col("weights").alias("wx")), "a").join(y.select(F.col("gid").alias("b"), F.col("terms").alias("ty"), F.col("weights").alias("wy")), "b")
+    return held.select("a", "b", "tx", "wx", "ty", "wy").mapInArrow(dots, "a long, b long, dot double").where(F.col("dot") >= t - SLACK)
 
 
 def overlaps(held_out: DataFrame, train: DataFrame, jaccard_tenths: int = 7) -> DataFrame:
@@ -78,8 +172,20 @@ def overlaps(held_out: DataFrame, train: DataFrame, jaccard_tenths: int = 7) ->
     x = left.select(F.col("gid").alias("a"), F.col("toks").alias("x"))
     y = right.select(F.col("gid").alias("b"), F.col("toks").alias("y"))
     links = near.join(x, "a").join(y, "b").where(S.tenths("x", "y", jaccard_tenths)).select("a", "b", "dot")
-    links = links.join(lm.select(F.col("gid").alias("a"), F.col("key").alias("key_a")), "a")
-    links = links.join(rm.select(F.col("gid").alias("b"), F.col("key").alias("key_b")), "b")
+    return of_rows(links, lm, rm)
+
+
+def weighted_overlaps(held_out: DataFrame, train: DataFrame, t: float = 0.8) -> DataFrame:
+    """All pairs (key_a, key_b, dot) of (key, text) rows with a cosine of at least t of their vectors by inverse document frequency."""
+    left, lm = classes_of(held_out)
+    right, rm = classes_of(train)
+    return of_rows(cosine_join(left, right, t, weighting="idf"), lm, rm)
+
+
+def of_rows(links: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Links (a, b, dot) of classes as pairs (key_a, key_b, dot) of their members (gid, key); a row with several texts counts by its nearest."""
+    links = links.join(left.select(F.col("gid").alias("a"), F.col("key").alias("key_a")), "a")
+    links = links.join(right.select(F.col("gid").alias("b"), F.col("key").alias("key_b")), "b")
     return links.groupBy("key_a", "key_b").agg(F.max("dot").alias("dot"))
 
 

@@ -48,6 +48,22 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_counts(pairs, held)
 
 
+def _weighted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    held = table(spark, d, "eval_problems").select(F.col("eval_id").alias("key"), "split", "source", F.col("problem_statement").alias("text"))
+    return held, overlap.weighted_overlaps(held, overlap.user_messages(table(spark, d, "train")))
+
+
+def p4_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps by weighted cosine: rare terms count for more than common ones."""
+    rows = _weighted(spark, d)[1]
+    return rows.select(F.col("key_a").alias("eval_id"), F.col("key_b").alias("ex_id"), F.round("dot", 6).alias("cosine"))
+
+
+def p4_weighted_counts(spark: SparkSession, d: str) -> DataFrame:
+    held, pairs = _weighted(spark, d)
+    return overlap.overlap_counts(pairs, held)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """The batches are taken one after another; each reads the index, not the history."""
     text, steps = F.col("problem_statement"), F.col("construction_steps")
@@ -93,5 +109,5 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p5_found, p6_ids, p7_pack, p7_fill, p8_found, p8_restored)
+    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p4_weighted, p4_weighted_counts, p5_found, p6_ids, p7_pack, p7_fill, p8_found, p8_restored)
 }

@@ -15,6 +15,18 @@ _ALIKE = """
   OR (st * 10 >= 5 * (na + nb - st) AND na + nb - st > 0 AND ca + cb - sc > 0 AND sc * 10 >= 8 * (ca + cb - sc))
 """
 
+_WEIGHTED = f"""
+WITH m AS (SELECT ex_id, unnest(messages) AS m FROM train),
+x AS (SELECT DISTINCT ex_id AS k, list_sort({_TOKENS.format("m.content")}) AS t FROM m WHERE lower(trim(m.role)) = 'user'),
+y AS (SELECT eval_id AS k, split, source, list_sort({_TOKENS.format("problem_statement")}) AS t FROM eval_problems),
+c AS (SELECT 'x' AS side, t FROM (SELECT DISTINCT t FROM x WHERE len(t) > 0) UNION ALL SELECT 'y', t FROM (SELECT DISTINCT t FROM y WHERE len(t) > 0)),
+u AS (SELECT side, t, unnest(t) AS w FROM c),
+f AS (SELECT w, ln(1 + (SELECT count(*) FROM c) / count(*)) AS i FROM u GROUP BY w),
+v AS (SELECT side, t, w, i / sqrt(sum(i * i) OVER (PARTITION BY side, t)) AS i FROM u JOIN f USING (w)),
+d AS (SELECT p.t AS yt, q.t AS xt, sum(p.i * q.i) AS dot FROM v p JOIN v q USING (w) WHERE p.side = 'y' AND q.side = 'x' GROUP BY p.t, q.t HAVING sum(p.i * q.i) >= 0.8 - 1e-9),
+r AS (SELECT y.k AS eval_id, x.k AS ex_id, max(dot) AS dot FROM d JOIN y ON y.t = d.yt JOIN x ON x.t = d.xt GROUP BY y.k, x.k)
+"""
+
 SQL = {
     "p3_found": f"""
 WITH s AS (SELECT problem_key AS k, {_TOKENS.format("problem_statement")} AS t, {_COMMANDS.format("construction_steps")} AS c FROM problems),
@@ -54,5 +66,12 @@ p AS (SELECT y.eval_id, x.ex_id, {_common("y.t", "x.t")} AS s, len(y.t) + len(x.
 f AS (SELECT eval_id, count(DISTINCT ex_id) AS n FROM p WHERE s * 10 >= 7 * (n - s) GROUP BY eval_id)
 SELECT split, source, count(*) AS held_out_rows, count(f.n) AS overlapping_rows, CAST(coalesce(sum(f.n), 0) AS BIGINT) AS pairs
 FROM y LEFT JOIN f USING (eval_id) GROUP BY split, source
+""",
+    "p4_weighted": _WEIGHTED + "SELECT eval_id, ex_id, round(dot, 6) AS cosine FROM r",
+    "p4_weighted_counts": _WEIGHTED
+    + """
+, n AS (SELECT eval_id, count(*) AS n FROM r GROUP BY eval_id)
+SELECT split, source, count(*) AS held_out_rows, count(n.n) AS overlapping_rows, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS pairs
+FROM y LEFT JOIN n ON n.eval_id = y.k GROUP BY split, source
 """,
 }

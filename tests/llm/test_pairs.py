@@ -98,80 +98,179 @@ def test_very_long_texts(spark):
 
 @pytest.mark.parametrize("weighting", ["unit", "idf"])
 def test_cosine_join_against_brute_force(spark, weighting):
-    import numpy as np
+    import math
 
     left, right = records(80, 5), records(150, 6) + records(80, 5)[:20]
     rows = lambda recs: spark.createDataFrame([(i, " ".join(w)) for i, (w, _) in enumerate(recs)], "key long, text string")
     a, _ = O.classes_of(rows(left))
     b, _ = O.classes_of(rows(right))
     got = {(r["a"], r["b"]): r["dot"] for r in O.cosine_join(a, b, 0.8, weighting=weighting).collect()}
-    order = S.token_order(a.select("toks").unionByName(b.select("toks")), "toks", weighting)
-    x, y = ({r["gid"]: np.array(r["toks"]) for r in s.collect()} for s in (a, b))
-    weight = lambda t: float(order.weights(t).sum()) if len(t) else 0.0
-    want = {(i, j): weight(np.intersect1d(p, q)) / (weight(p) * weight(q)) ** 0.5 for i, p in x.items() for j, q in y.items()}
+    x, y = ({r["gid"]: set(r["toks"]) for r in s.collect()} for s in (a, b))
+    every = [*x.values(), *y.values()]
+    squared = {t: 1.0 if weighting == "unit" else math.log(1 + len(every) / sum(t in v for v in every)) ** 2 for v in every for t in v}
+    weight = lambda s: sum(squared[t] for t in s)
+    want = {(i, j): weight(p & q) / (weight(p) * weight(q)) ** 0.5 for i, p in x.items() for j, q in y.items()}
     want = {k: v for k, v in want.items() if v >= 0.8}
     assert set(got) == set(want) and len(want) > 10 and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
-def test_overlaps_across_splits(spark):
-    held = spark.createDataFrame([(1, "a b c d e f g", "test", None), (2, None, "test", "s"), (3, "", "validation", "s")], "key long, text string, split string, source string")
-    train = [(10, [("USER", "a b c d e f g h"), ("assistant", "a b c d e f g")]), (11, [(" user", "G F E D C B A!"), ("user", None)]), (12, None), (13, []), (14, [(None, "a b c d e f g")]), (11, [("user", "a b c d e f g")])]
-    users = O.user_messages(spark.createDataFrame(train, "ex_id long, messages array<struct<role:string,content:string>>"))
-    pairs = O.overlaps(held, users)
-    assert sorted((r["key_a"], r["key_b"]) for r in pairs.collect()) == [(1, 10), (1, 11)]
-    counts = {(r["split"], r["source"]): (r["held_out_rows"], r["overlapping_rows"], r["pairs"]) for r in O.overlap_counts(pairs, held).collect()}
-    assert counts == {("test", None): (1, 1, 2), ("test", "s"): (1, 0, 0), ("validation", "s"): (1, 0, 0)}
-    assert O.overlaps(held.limit(0), users).count() == 0 and O.overlaps(held, users.limit(0)).count() == 0
+def test_greatest_weights_prune_lists(spark):
+    import numpy as np
 
+    sets = spark.createDataFrame([(1, list(range(20)))], "gid long, toks array<long>")
+    vectors = O.unit_vectors(sets, S.token_order(sets, "toks"))
+    most = O.greatest(vectors)
+    assert np.isclose(most[:20], 20**-0.5).all() and most[20:].max() == 0
+    # alone, the residual norm keeps as many as leave 0.8, for which 13 of 20 terms are needed; the greatest weights call for 16
+    assert O.lists(vectors, most * 0 + 1, 0.8).count() == 20 - 13 + 1
+    assert O.lists(vectors, most, 0.8).count() == 20 - 16 + 1
+    assert O.lists(vectors, most * 0.7, 0.8).count() == 0
 
-def test_batches_against_history(spark):
-    recs = records(150, 8)
+
+def refused_of(index, spark, recs, start):
+    return {r["key"] for r in I.refused(sets(spark, recs, start), index.sets(since=1)).collect()}
+
+
+def by_hand(recs, known):
     have = [(set(w), set(c)) for w, c in recs]
-    kept, want = have[:60], set()
-    for i in range(60, 150):
+    kept, out = have[:known], set()
+    for i in range(known, len(have)):
         if any(alike(have[i], h) for h in kept):
-            want.add(i)
+            out.add(i)
         else:
             kept.append(have[i])
+    return out
+
+
+@pytest.mark.parametrize("hot", [1_000, 3])
+def test_batches_against_history(spark, monkeypatch, hot):
+    monkeypatch.setattr(I, "HOT", hot)
+    recs = records(150, 8)
     firsts, _ = N.classes_of(sets(spark, recs[:60], 1_000_000))
     index = I.PrefixIndex.over(firsts)
     for at in (60, 90, 120):
         I.ingest(index, sets(spark, recs[at : at + 30], at))
-    got = {r["key"] for r in I.refused(sets(spark, recs[60:], 60), index.sets(since=1)).collect()}
-    assert got == want and len(want) > 10
+    got = refused_of(index, spark, recs[60:], 60)
+    assert got == by_hand(recs, 60) and len(got) > 10
 
 
-def test_batch_larger_than_a_probe_block(spark, monkeypatch):
+def test_an_index_opened_again_goes_on_where_it_was(spark, tmp_path):
+    recs = records(120, 11)
+    firsts, _ = N.classes_of(sets(spark, recs[:60], 1_000_000))
+    path = f"file://{tmp_path}/index"
+    I.ingest(I.PrefixIndex.over(firsts, path), sets(spark, recs[60:90], 60))
+    other = spark.newSession()
+    index = I.PrefixIndex.open(other, path)
+    I.ingest(index, sets(other, recs[90:], 90))
+    assert {r["key"] for r in I.refused(sets(other, recs[60:], 60), index.sets(since=1)).collect()} == by_hand(recs, 60)
+    with pytest.raises(FileNotFoundError):
+        I.PrefixIndex.open(spark, f"file://{tmp_path}/nothing")
+
+
+def test_an_append_that_fails_leaves_the_index_as_it_was(spark, tmp_path, monkeypatch):
+    recs = records(90, 12)
+    firsts, _ = N.classes_of(sets(spark, recs[:60], 1_000_000))
+    path = f"file://{tmp_path}/index"
+    index = I.PrefixIndex.over(firsts, path)
+    before = index.sets().count()
+
+    def broken(*_):
+        raise OSError
+
+    with monkeypatch.context() as m:
+        m.setattr(I.Store, "commit", broken)
+        with pytest.raises(OSError):
+            I.ingest(index, sets(spark, recs[60:], 60))
+    again = I.PrefixIndex.open(spark, path)
+    assert again.sets().count() == before
+    I.ingest(again, sets(spark, recs[60:], 60))
+    assert refused_of(again, spark, recs[60:], 60) == by_hand(recs, 60)
+    with pytest.raises(RuntimeError):  # the first one's manifest is out of date now
+        I.ingest(index, sets(spark, recs[:1], 500))
+
+
+def test_segments_are_merged_and_parts_pruned(spark, monkeypatch):
+    monkeypatch.setattr(I, "MERGE", 2)
+    monkeypatch.setattr(I, "PART_ROWS", 8)
+    recs = records(100, 9)
+    firsts, _ = N.classes_of(sets(spark, recs[:50], 1_000_000))
+    index = I.PrefixIndex.over(firsts)
+    for at in range(50, 100, 10):
+        I.ingest(index, sets(spark, recs[at : at + 10], at))
+    assert len(index.manifest.segments) < 6 and index.manifest.appends == 6
+    assert refused_of(index, spark, recs[50:], 50) == by_hand(recs, 50)
+    index.vacuum()
+    assert refused_of(index, spark, recs[50:], 50) == by_hand(recs, 50)
+    rows = index._read("postings", index.manifest.segments)
+    keys = [r["sig"] for r in rows.select("sig").limit(2).collect()]
+    bits = spark.createDataFrame([(k,) for k in keys], "sig long").agg(I.low_bits("sig").alias("b")).first()["b"]
+    near = index._read("postings", index.manifest.segments, bits)
+    assert {r["sig"] for r in near.select("sig").collect()} >= set(keys) and near.count() < rows.count()
+
+
+def test_parts():
+    assert [I.parts_for(n) for n in (0, 1, I.PART_ROWS, I.PART_ROWS + 1, 5 * I.PART_ROWS, 10**12)] == [1, 1, 1, 2, 8, I.MOST_PARTS]
+    bits = bytearray(4096)
+    for k in (0, 5, 9, 32_767):
+        bits[k // 8] |= 1 << k % 8
+    assert I.hit(bits, 4) == [0, 1, 3] and I.hit(bits, 1) == [0] and I.hit(bytes(4096), 8) == [] and I.hit(None, 8) == []
+
+
+@pytest.mark.parametrize("probes, links", [(10, 1_000), (1_000_000, 0)])
+def test_batch_too_large_to_broadcast_or_for_one_task(spark, monkeypatch, probes, links):
     recs = records(100, 9)
+    monkeypatch.setattr(I, "PROBE_ROWS", probes)
+    monkeypatch.setattr(I, "LINKS_AT_ONCE", links)
     firsts, _ = N.classes_of(sets(spark, recs[:50], 1_000_000))
-    results = []
-    for most in (10, 1_000_000):
-        monkeypatch.setattr(I, "PROBE_ROWS", most)
-        index = I.PrefixIndex.over(firsts)
-        results.append({r["gid"] for r in I.ingest(index, sets(spark, recs[50:], 50)).collect()})
-    assert results[0] == results[1] and results[0]
+    index = I.PrefixIndex.over(firsts)
+    I.ingest(index, sets(spark, recs[50:], 50))
+    assert refused_of(index, spark, recs[50:], 50) == by_hand(recs, 50)
 
 
 def test_empty_batch_and_empty_history(spark):
     empty, _ = N.classes_of(sets(spark, [(["a"], [])]).limit(0))
     index = I.PrefixIndex.over(empty)
-    assert I.ingest(index, sets(spark, [(["a"], [])]).limit(0)).count() == 0
+    I.ingest(index, sets(spark, [(["a"], [])]).limit(0))
+    assert index.sets(since=1).count() == 0
     rows = sets(spark, [(["a", "b"], []), (["b", "a"], []), ([], ["c"])], 5)
-    assert [r["gid"] for r in I.ingest(index, rows).collect()] == [5]
+    assert I.ingest(index, rows)["records"] == 1
+    assert [r["gid"] for r in index.sets(since=1).collect()] == [5]
     assert [r["key"] for r in I.refused(rows, index.sets(since=1)).collect()] == [6]
-    assert I.ingest(index, sets(spark, [(["a", "b"], [])], 9)).count() == 0
+    assert I.ingest(index, sets(spark, [(["a", "b"], [])], 9))["refused"] == 1
 
 
-def test_first_wins_on_chains(spark):
+@pytest.mark.parametrize("at_once", [0, 1_000])
+def test_first_wins_on_chains(spark, monkeypatch, at_once):
+    monkeypatch.setattr(I, "LINKS_AT_ONCE", at_once)
     r = random.Random(4)
     pairs = {(i, i + 1) for i in range(30)} | {tuple(sorted(r.sample(range(60), 2))) for _ in range(40)}
-    kept = []
+    old = {3, 17, 44}
+    out = set()
     for i in range(60):
-        if not any((k, i) in pairs for k in kept):
-            kept.append(i)
-    nodes = spark.createDataFrame([(i,) for i in range(60)], "gid long")
-    got = I.first_wins(nodes, settle(spark.createDataFrame(sorted(pairs), "a long, b long"), "t"))
-    assert sorted(x["gid"] for x in got.collect()) == kept
+        if i in old or any(a not in out and b == i for a, b in pairs):
+            out.add(i)
+    links = spark.createDataFrame([(b, a, False) for a, b in sorted(pairs)] + [(i, 1000 + i, True) for i in old], "a long, b long, old boolean")
+    got = I.first_wins(settle(links, "t"), len(pairs) + 3)
+    assert {x["gid"] for x in got.collect()} == out
+
+
+def test_a_hot_construction_costs_what_its_rows_do(spark):
+    """A fifth of all rows share one construction under different texts; those that are alike are found."""
+    r = random.Random(7)
+    vocab = [f"v{i}" for i in range(3000)]
+    recs = [(r.sample(vocab, 20), ["p", "q", "s"] if i % 5 == 0 else [f"c{i}", f"d{i}"]) for i in range(1500)]
+    for i in range(0, 200, 10):  # edited copies of the text, within the construction: 15 of 20 words
+        recs.append((recs[i][0][:14] + r.sample(vocab, 6), ["p", "q", "s"]) if i % 5 == 0 else recs[i])
+    firsts, members = N.classes_of(sets(spark, recs))
+    steps = settle(S.prefixes(firsts, S.token_order(firsts, "cmds"), N.STEPS, of="cmds"), "s")
+    groups, held = N.grouped(steps)
+    assert held.count() >= 300
+    have = [(set(w), set(c)) for w, c in recs]
+    want = {(i, j) for j in range(len(recs)) for i in range(max(0, j - len(recs)), j) if len(have[i][0] & have[j][0]) > 8 and alike(have[i], have[j])}
+    assert {tuple(x) for x in N.alike_pairs(sets(spark, recs)).collect()} == want and len(want) >= 15
+    half = S.postings(S.prefixes(firsts, S.token_order(firsts, "toks"), N.LOOSE)).select("gid", "sig").join(held, "gid")
+    met = half.groupBy("group", "sig").count().selectExpr("sum(count * (count - 1) / 2) AS n").first()["n"]
+    assert met < 0.2 * 300 * 299 / 2
 
 
 def test_components(spark):
