@@ -22,6 +22,13 @@ def p2_split(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign(rows, table(spark, d, "split_plan"))
 
 
+def p2_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each source's rows in each split are within one group of the plan."""
+    train, plan = table(spark, d, "train"), table(spark, d, "split_plan")
+    rows = splits.balance(p2_split(spark, d), train, plan)
+    return rows.select("split", "source", F.round("planned", 4).alias("planned"), (F.abs(F.col("rows") - F.col("planned")) <= F.col("largest")).alias("within"))
+
+
 def _problem_sets(spark: SparkSession, d: str) -> DataFrame:
     return neardup.record_sets(table(spark, d, "problems"), F.col("problem_key"), F.col("problem_statement"), F.col("construction_steps"))
 
@@ -109,5 +116,5 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_split, p3_found, p3_groups, p4_found, p4_counts, p4_weighted, p4_weighted_counts, p5_found, p6_ids, p7_pack, p7_fill, p8_found, p8_restored)
+    f.__name__: f for f in (p2_found, p2_split, p2_balance, p3_found, p3_groups, p4_found, p4_counts, p4_weighted, p4_weighted_counts, p5_found, p6_ids, p7_pack, p7_fill, p8_found, p8_restored)
 }

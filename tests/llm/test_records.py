@@ -94,13 +94,31 @@ def test_rare_sources_are_spread_over_the_splits(spark):
             assert abs(mine.count(name) - share * len(mine)) <= 1
 
 
+def test_equal_components_are_shared_out_as_one_by_one():
+    r = random.Random(6)
+    for _ in range(300):
+        need, room = [r.choice([r.uniform(-20, 300), 40.0]) for _ in range(r.randrange(1, 5))], [r.uniform(0, 300) for _ in range(4)]
+        step, n, left = r.randrange(1, 9), r.randrange(0, 90), None
+        left, want = list(need), [0] * len(need)
+        for _ in range(n):
+            s = max(range(len(need)), key=lambda s: (round(left[s], 6), room[s], -s))
+            left[s] -= step
+            want[s] += 1
+        got = S.shared_out(need, room, step, n)
+        assert sum(got) == n and max(abs(x - y) for x, y in zip(got, want)) <= 1
+        # the needs that are left are the same, whichever of two equal splits came first
+        assert all(abs(x - y) < 1e-6 for x, y in zip(sorted(a - g * step for a, g in zip(need, got)), sorted(left)))
+
+
 def test_bulk_placement_keeps_shares():
-    kinds = [((0,), (5_000, 0), 5_000), ((1,), (0, 9_000), 3_000), ((2,), (7, 3), 1)]
+    kinds = [(0, {0: 1}, 5_000), (1, {1: 3}, 3_000), (2, {0: 7, 1: 3}, 1)]
     placed = S.stratify(kinds, [0.8, 0.08, 0.12])
     assert [sum(p) for p in placed] == [5_000, 3_000, 1]
     for i, share in enumerate([0.8, 0.08, 0.12]):
-        assert abs(placed[0][i] - share * 5_000) < 20 and abs(placed[1][i] - share * 3_000) < 20
+        assert abs(sum(placed[0][i:i + 1]) + 7 * placed[2][i] - share * 5_007) <= 1 and abs(3 * placed[1][i] + 3 * placed[2][i] - share * 9_003) <= 3
     assert S.stratify([], [1.0]) == []
+    many = S.stratify([(k, {k % 40: 1 + k % 7, 40 + k % 3: 2}, 1 + k % 5) for k in range(50_000)], [0.8, 0.08, 0.12])
+    assert len(many) == 50_000
 
 
 @pytest.fixture(scope="module")
@@ -269,6 +287,7 @@ def test_queries_run(spark, small):
     from stepquarry.llm import queries, sql
 
     assert set(sql.SQL) <= set(queries.QUERIES)
+    assert not queries.p2_balance(spark, small).where("not within").count()
     for name in ("p2_split", "p4_counts", "p6_ids", "p7_pack", "p7_fill", "p8_found", "p8_restored"):
         assert queries.QUERIES[name](spark, small).count() > 0
 
