@@ -15,34 +15,40 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-_MARKS = re.compile(r'\\.|["{}]', re.S)
-
-
-def _closing(marks: list[tuple[int, str]], k: int) -> int | None:
-    """Index of the mark that closes the brace at mark k; quotes are read from there on."""
-    depth, quoted = 0, False
-    for i in range(k, len(marks)):
-        ch = marks[i][1]
-        if ch == '"':
-            quoted = not quoted
-        elif not quoted and ch == "{":
-            depth += 1
-        elif not quoted and ch == "}":
-            depth -= 1
-            if not depth:
-                return i
-    return None
+#: What may matter: outside a string its opening quote and braces, inside it the closing quote and escapes.
+_OUTSIDE, _INSIDE = re.compile(r'["{}]'), re.compile(r'(?:[^"\\]|\\.)*"', re.S)
 
 
 def spans(text: str):
     """(start, end) of the balanced span at each opening brace in turn; one that never closes is left out.
 
-    Quotes before a brace don't matter to it. Only quotes, braces and escapes are visited.
+    Strings are skipped whole, and only within them a backslash makes the next
+    character count for nothing. Each brace is read from anew, so quotes before it
+    don't matter to it. One that doesn't close by the end of the text is met once
+    for each string state it may be read in, which keeps long broken replies cheap.
     """
-    marks = [(m.start(), m.group()) for m in _MARKS.finditer(text)]
-    for k, (at, ch) in enumerate(marks):
-        if ch == "{" and (end := _closing(marks, k)) is not None:
-            yield at, marks[end][0] + 1
+    dead: set[int] = set()
+    for opening in re.finditer("{", text):
+        if opening.start() in dead:
+            continue
+        at, held, end = opening.start(), [], None
+        while end is None and (m := _OUTSIDE.search(text, at)):
+            at = m.end()
+            if m[0] == "{":
+                held.append(m.start())
+            elif m[0] == "}":
+                held.pop()
+                if not held:
+                    end = at
+            else:
+                closing = _INSIDE.match(text, at)
+                if closing is None:
+                    break
+                at = closing.end()
+        if end is None:  # nor do the braces within it that were open in the same reading
+            dead.update(held)
+        else:
+            yield opening.start(), end
 
 
 # The commonest slips and what is meant, in the order they are mended: no comma between objects or
@@ -83,6 +89,12 @@ def first_object(text: str | None, mend: bool):
     return None
 
 
+def outermost(text: str | None):
+    """The value between the first opening and the last closing brace, if that is JSON; else None."""
+    text = text or ""
+    return _loads(text[text.find("{") : text.rfind("}") + 1]) if "{" in text else None
+
+
 def _steps_json(obj) -> str | None:
     steps = obj.get("construction_steps") if isinstance(obj, dict) else obj
     return json.dumps(steps, ensure_ascii=False) if isinstance(steps, list) else None
@@ -108,6 +120,20 @@ def lenient_steps(replies: Column | str) -> Column:
     return _arrow(lambda t: _steps_json(first_object(t, True)), replies)
 
 
+def greedy_steps(replies: Column | str) -> Column:
+    """JSON of the steps of the object between the first and the last brace, with every class in lower case; null without."""
+
+    def rule(text: str | None) -> str | None:
+        found = outermost(text)
+        steps = found.get("construction_steps", []) if isinstance(found, dict) else None
+        if not isinstance(steps, list):
+            return None
+        lower = lambda s: s | {"class": s["class"].lower()} if isinstance(s, dict) and isinstance(s.get("class"), str) else s
+        return json.dumps([lower(s) for s in steps], ensure_ascii=False)
+
+    return _arrow(rule, replies)
+
+
 def mended(text: str | None) -> str | None:
     if text is None or _loads(text) is not None:
         return text

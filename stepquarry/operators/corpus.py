@@ -81,11 +81,11 @@ def chat(problems: DataFrame, keys: list[str], system: str = SYSTEM) -> DataFram
 
 
 def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, column: str = "id", floor: int = 1000) -> DataFrame:
-    """``rows`` with ``new_id``: from the greatest id of ``taken`` on, or ``floor`` if that is more, in order.
+    """``rows`` with ``new_id``: one more than the greatest id of ``taken``, or ``floor`` if that is more, and so on, in order.
 
     The order is made by a range partitioning and offsets, not in one task.
     """
-    start = taken.agg(F.greatest(F.coalesce(F.max(column), F.lit(0)), F.lit(floor)).alias("_start"))
+    start = taken.agg(F.greatest(F.coalesce(F.max(column), F.lit(0)), F.lit(floor - 1)).alias("_start"))
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     parts = settle(parts, "ordered")
     counts = parts.groupBy("_p").agg(F.count("*").alias("_c"))
@@ -123,3 +123,10 @@ def prompt(rules: str, examples: DataFrame, order: str) -> DataFrame:
 def repair_request(failed: Column, most: int = 6) -> Column:
     """The text that names the first failed steps."""
     return F.concat(F.lit("These steps failed: "), F.array_join(F.slice(failed, 1, most), "; "))
+
+
+def chat_lengths(chats: DataFrame, *keys: str) -> DataFrame:
+    """(keys, full, completion) of chat rows (keys, messages): characters of all contents, and of the last message's; null contents have none."""
+    sizes = F.transform("messages", lambda m: F.coalesce(F.char_length(m["content"]), F.lit(0)).cast("long"))
+    full = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + n)
+    return chats.select(*keys, full.alias("full"), F.coalesce(F.try_element_at(sizes, F.lit(-1)), F.lit(0)).alias("completion"))

@@ -20,10 +20,22 @@ LEAST_DISTINCT = 0.5
 KEEP = 0.6
 
 
+#: Trials of one problem are spread over so many tasks when they meet what belongs to the problem.
+SALTS = 8
+
+
 def point_steps(problems: DataFrame, key: str, steps: str = "construction_steps") -> DataFrame:
-    """(problem_id, points): the names of the steps of class point, in order; no row without steps."""
+    """(problem_id, n_steps, points) of every problem: its number of steps, and the names of those of class point, in order."""
     named = F.filter(steps, lambda s: (s["class"] == "point") & s["name"].isNotNull())
-    return problems.where(F.size(steps) > 0).select(F.col(key).alias("problem_id"), F.transform(named, lambda s: s["name"]).alias("points"))
+    names = F.coalesce(F.transform(named, lambda s: s["name"]), F.array().cast("array<string>"))
+    return problems.select(F.col(key).alias("problem_id"), F.coalesce(F.size(steps), F.lit(0)).alias("n_steps"), names.alias("points"))
+
+
+def of_problem(trials: DataFrame, each: DataFrame) -> DataFrame:
+    """Trials joined with rows of their problem; as one problem may have a large part of all trials, both sides are salted."""
+    x = trials.withColumn("_salt", F.pmod(F.xxhash64("trial"), F.lit(SALTS)))
+    y = each.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return x.join(y, ["problem_id", "_salt"]).drop("_salt")
 
 
 def latest(probes: DataFrame) -> DataFrame:
@@ -59,20 +71,25 @@ def trials_of(probes: DataFrame) -> DataFrame:
 
 
 def built(trials: DataFrame, points: DataFrame) -> DataFrame:
-    """Trials with ``failed``: the point steps, in order, that have no coordinates; problems without point steps are left out."""
-    joined = trials.join(points, "problem_id")
-    return joined.withColumn("failed", F.filter("points", lambda n: ~F.map_contains_key("coords", n))).drop("points")
-
+    """Trials with n_steps and ``failed``: the point steps, in order, that have no coordinates.
 
-def first_failing(ok: Column, trial: Column, value: Column) -> Column:
-    """The value of the first trial that is not ok; null if all are."""
-    return F.min_by(value, F.when(~ok, trial))
+    Every problem of ``points`` has a row: one without trials has one with a null
+    trial and nothing failed. Trials of unknown problems are left out.
+    """
+    failed = F.filter("points", lambda n: ~F.map_contains_key("coords", n))
+    tried = of_problem(trials, points).withColumn("failed", failed).drop("points")
+    none = points.join(trials.select("problem_id").distinct(), "problem_id", "left_anti")
+    none = none.select("problem_id", "n_steps", F.array().cast("array<string>").alias("failed"))
+    return tried.unionByName(none, allowMissingColumns=True)
 
 
 def gate_all(trials: DataFrame) -> DataFrame:
-    """(problem_id, clean, trials, ok, sample_failure): ok if every trial built; the first failing trial's list."""
-    ok = F.size("failed") == 0
-    out = trials.groupBy("problem_id").agg(F.count_if(ok).alias("clean"), F.count("*").alias("trials"), F.min(F.when(~ok, F.struct("trial", "failed"))).alias("bad"))
+    """(problem_id, clean, trials, ok, sample_failure): ok if every trial built; the first failing trial's list.
+
+    A problem without steps has nothing that could fail, and one without trials none that failed: both are ok.
+    """
+    ok, there = F.size("failed") == 0, F.col("trial").isNotNull()
+    out = trials.groupBy("problem_id").agg(F.count_if(ok & there).alias("clean"), F.count("trial").alias("trials"), F.min(F.when(~ok, F.struct("trial", "failed"))).alias("bad"))
     return out.select("problem_id", "clean", "trials", (F.col("clean") == F.col("trials")).alias("ok"), F.col("bad.failed").alias("sample_failure"))
 
 
@@ -109,12 +126,18 @@ def degeneracy(pts: Column) -> Column:
 
 
 def gate_majority(trials: DataFrame, keep: float = KEEP) -> DataFrame:
-    """(problem_id, clean, trials, kept, last_reason): kept if the share of built, sound trials reaches ``keep``; the last bad trial's reason."""
-    reason = F.when(F.size("failed") > 0, "broken").otherwise(degeneracy(F.col("pts")))
-    rows = trials.select("problem_id", "trial", reason.alias("reason"))
-    out = rows.groupBy("problem_id").agg(F.count_if(F.col("reason").isNull()).alias("clean"), F.count("*").alias("trials"), F.max(F.when(F.col("reason").isNotNull(), F.struct("trial", "reason"))).alias("bad"))
-    kept = F.col("clean") >= F.lit(keep) * F.col("trials")
-    return out.select("problem_id", "clean", "trials", kept.alias("kept"), F.when(~kept, F.col("bad.reason")).alias("last_reason"))
+    """(problem_id, clean, trials, kept, last_reason): kept if the share of built, sound trials reaches ``keep``; the last bad trial's reason.
+
+    A problem without steps is dropped as no_steps, one without trials as no_trials.
+    """
+    there = F.col("trial").isNotNull()
+    reason = F.when(there & (F.size("failed") > 0), "broken").when(there, degeneracy(F.col("pts")))
+    rows = trials.select("problem_id", "trial", "n_steps", reason.alias("reason"))
+    bad = F.max(F.when(F.col("reason").isNotNull(), F.struct("trial", "reason"))).alias("bad")
+    out = rows.groupBy("problem_id").agg(F.count_if(there & F.col("reason").isNull()).alias("clean"), F.count("trial").alias("trials"), F.max("n_steps").alias("n_steps"), bad)
+    kept = (F.col("n_steps") > 0) & (F.col("trials") > 0) & (F.col("clean") >= F.lit(keep) * F.col("trials"))
+    why = F.when(F.col("n_steps") == 0, "no_steps").when(F.col("trials") == 0, "no_trials").when(~kept, F.col("bad.reason"))
+    return out.select("problem_id", "clean", "trials", kept.alias("kept"), why.alias("last_reason"))
 
 
 def checks_of(problems: DataFrame, key: str) -> DataFrame:
@@ -125,26 +148,31 @@ def checks_of(problems: DataFrame, key: str) -> DataFrame:
 
 def checked(trials: DataFrame, checks: DataFrame) -> DataFrame:
     """(problem_id, trial, idx, kind, holds, reason) for every check on every trial of its problem."""
-    rows = trials.select("problem_id", "trial", "coords", "scale").join(checks, "problem_id")
+    rows = of_problem(trials.where("trial is not null").select("problem_id", "trial", "coords", "scale"), checks)
     return C.evaluated(rows).select("problem_id", "trial", "idx", "kind", "holds", "reason")
 
 
 def gate_checks(results: DataFrame) -> DataFrame:
-    """(problem_id, results, ok, first_reason): ok if every check holds on every trial; the first failure by trial, then check."""
-    bad = F.min(F.when(~F.col("holds"), F.struct("trial", "idx", "reason"))).alias("bad")
+    """(problem_id, results, ok, first_reason): ok if every check holds on every trial; the first failure, as kind: reason, by trial, then check."""
+    said = F.concat_ws(": ", F.coalesce("kind", F.lit("none")), "reason").alias("said")
+    bad = F.min(F.when(~F.col("holds"), F.struct("trial", "idx", said))).alias("bad")
     out = results.groupBy("problem_id").agg(F.count("*").alias("results"), F.bool_and("holds").alias("ok"), bad)
-    return out.select("problem_id", "results", "ok", F.col("bad.reason").alias("first_reason"))
+    return out.select("problem_id", "results", "ok", F.col("bad.said").alias("first_reason"))
 
 
 def gates_in_order(build: DataFrame, check: DataFrame) -> DataFrame:
-    """(problem_id, status): broken, then unproven, then accepted; problems without checks pass the second gate."""
-    rows = build.select("problem_id", F.col("ok").alias("built")).join(check.select("problem_id", F.col("ok").alias("proved")), "problem_id", "left")
+    """(problem_id, status, failure): broken, then unproven, then accepted; what failed first, as a list.
+
+    Problems without checks, or without trials to check, pass the second gate.
+    """
+    rows = build.select("problem_id", F.col("ok").alias("built"), "sample_failure").join(check.select("problem_id", F.col("ok").alias("proved"), "first_reason"), "problem_id", "left")
     status = F.when(~F.col("built"), "broken").when(~F.coalesce("proved", F.lit(True)), "unproven").otherwise("accepted")
-    return rows.select("problem_id", status.alias("status"))
+    failure = F.when(F.col("status") == "broken", F.col("sample_failure")).when(F.col("status") == "unproven", F.array("first_reason"))
+    return rows.withColumn("status", status).select("problem_id", "status", failure.alias("failure"))
 
 
 def view_box(pts: DataFrame, width: int = 800, height: int = 600) -> DataFrame:
-    """(problem_id, trial, x_min, x_max, y_min, y_max): the window around the finite points.
+    """(problem_id, trial, x_min, x_max, y_min, y_max): the window around the finite points given, which should be the visible ones.
 
     Each side gets a margin of 18 % of the extent, 1.5 at least; then the window is
     widened about its middle so that both axes have the units a pixel of ``width`` by ``height``.

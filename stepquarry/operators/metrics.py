@@ -28,6 +28,22 @@ def score(rows: DataFrame, group: list[str] | None = None) -> DataFrame:
     return out.withColumns({"pct_of_all": percent(F.col("render_ok"), F.col("total")), "pct_of_parsed": percent(F.col("render_ok"), F.col("parse_ok"))})
 
 
+def functional_eval(rows: DataFrame) -> DataFrame:
+    """(total, parsed, renderable, pct_parsed, pct_renderable, pct_of_parsed) of predictions (steps, kept), kept by the majority gate."""
+    parsed = F.coalesce(F.size("steps"), F.lit(0)) > 0
+    good = parsed & F.coalesce("kept", F.lit(False))
+    out = rows.agg(F.count("*").alias("total"), F.count_if(parsed).alias("parsed"), F.count_if(good).alias("renderable"))
+    shares = {"pct_parsed": ("parsed", "total"), "pct_renderable": ("renderable", "total"), "pct_of_parsed": ("renderable", "parsed")}
+    return out.withColumns({n: percent(F.col(a), F.col(b)) for n, (a, b) in shares.items()})
+
+
+def yields(attempts: DataFrame, accepted: Column, **sums: str) -> DataFrame:
+    """(attempts, accepted, yield and a sum for each of ``sums``): what came of all attempts; the yield of none is 0."""
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in sums.items()]
+    out = attempts.agg(F.count("*").alias("attempts"), F.count_if(accepted).alias("accepted"), *totals)
+    return out.withColumn("yield", F.col("accepted") / F.greatest(F.col("attempts"), F.lit(1)))
+
+
 def totals(rows: DataFrame, *by: str) -> DataFrame:
     """Rows by status."""
     return rows.groupBy(*by).agg(F.count("*").alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ prob AS (SELECT problem_key AS problem_id, problem_statement, construction_steps
          UNION ALL SELECT id, problem_statement, construction_steps, checks FROM fewshot_problems)
 """
 TRIALS = f"""{PROBLEMS},
+probed AS (SELECT problem_id, trial, pos, name, x, y, recorded_at, loaded_at FROM probes),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY problem_id, trial, pos, name ORDER BY loaded_at DESC, recorded_at DESC) AS rn
-           FROM probes WHERE problem_id IS NOT NULL AND trial IS NOT NULL AND name IS NOT NULL),
+           FROM probed WHERE problem_id IS NOT NULL AND trial IS NOT NULL AND name IS NOT NULL),
 pt AS (SELECT problem_id, trial, pos, name, x, y FROM ranked WHERE rn = 1 AND x IS NOT NULL AND y IS NOT NULL),
 tr AS (SELECT problem_id, trial, list({{'pos': pos, 'name': name, 'x': x, 'y': y}} ORDER BY pos) AS pts,
               greatest(max(x) FILTER (isfinite(x) AND isfinite(y)) - min(x) FILTER (isfinite(x) AND isfinite(y)),
@@ -47,9 +50,11 @@ co AS (SELECT *, map_from_entries(list_transform(pts, lambda p: (p.name, {{'x':
               CASE WHEN len(pts) >= 2 AND side > 1e-9 THEN side ELSE 1.0 END AS scale FROM tr)
 """
 BUILT = f"""{TRIALS},
-ps AS (SELECT problem_id, [s.name for s in construction_steps if s.class = 'point' AND s.name IS NOT NULL] AS points
-       FROM prob WHERE len(construction_steps) > 0),
-bu AS (SELECT co.*, list_filter(ps.points, lambda n: NOT map_contains(co.coords, n)) AS failed FROM co JOIN ps USING (problem_id))
+ps AS (SELECT problem_id, coalesce(len(construction_steps), 0) AS n_steps,
+              coalesce([s.name for s in construction_steps if s.class = 'point' AND s.name IS NOT NULL], CAST([] AS VARCHAR[])) AS points FROM prob),
+bu AS (SELECT ps.problem_id, n_steps, trial, pts, coords, scale,
+              CASE WHEN trial IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_filter(ps.points, lambda n: NOT map_contains(co.coords, n)) END AS failed
+       FROM ps LEFT JOIN co USING (problem_id))
 """
 
 
@@ -58,7 +63,7 @@ def trial_points(spark: SparkSession, d: str) -> DataFrame:
     return _trials(spark, d).select("problem_id", "trial", F.size("pts").cast("long").alias("points"))
 
 
-@query(f"""WITH {BUILT} SELECT problem_id, count(*) FILTER (len(failed) = 0) AS clean, count(*) AS trials,
+@query(f"""WITH {BUILT} SELECT problem_id, count(trial) FILTER (len(failed) = 0) AS clean, count(trial) AS trials,
        bool_and(len(failed) = 0) AS ok, array_to_string(arg_min(failed, trial) FILTER (len(failed) > 0), ' ') AS sample_failure
 FROM bu GROUP BY problem_id""")
 def trial_gate_all(spark: SparkSession, d: str) -> DataFrame:
@@ -100,16 +105,16 @@ def point_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 _REASON = f"""
-why AS (SELECT bu.problem_id, bu.trial, CASE WHEN len(failed) > 0 THEN 'broken' WHEN len({_BOUNDS}) > 0 THEN 'out_of_bounds'
+why AS (SELECT bu.problem_id, bu.trial, n_steps, CASE WHEN bu.trial IS NULL THEN NULL WHEN len(failed) > 0 THEN 'broken' WHEN len({_BOUNDS}) > 0 THEN 'out_of_bounds'
           WHEN len(pts) >= 2 AND {_EXTENT} < 0.5 THEN 'collapsed'
           WHEN lead.clusters < greatest(3, ceil(0.5 * lead.points)) THEN 'coincident' END AS reason
         FROM bu LEFT JOIN lead ON lead.problem_id = bu.problem_id AND lead.trial = bu.trial)
 """
 _MAJORITY = """
-SELECT problem_id, count(*) FILTER (reason IS NULL) AS clean, count(*) AS trials,
-       count(*) FILTER (reason IS NULL) >= 0.6 * count(*) AS kept,
-       CASE WHEN count(*) FILTER (reason IS NULL) < 0.6 * count(*) THEN arg_max(reason, trial) FILTER (reason IS NOT NULL) END AS last_reason
-FROM why GROUP BY problem_id
+SELECT problem_id, clean, trials, n_steps > 0 AND trials > 0 AND clean >= 0.6 * trials AS kept,
+       CASE WHEN n_steps = 0 THEN 'no_steps' WHEN trials = 0 THEN 'no_trials' WHEN clean < 0.6 * trials THEN last END AS last_reason
+FROM (SELECT problem_id, max(n_steps) AS n_steps, count(trial) FILTER (reason IS NULL) AS clean, count(trial) AS trials,
+             arg_max(reason, trial) FILTER (reason IS NOT NULL) AS last FROM why GROUP BY problem_id)
 """
 
 
@@ -159,6 +164,10 @@ def _cut(a: str, b: str, c: str, d: str) -> str:
     return f"{{'x': {a}.x + {t} * ({b}.x - {a}.x), 'y': {a}.y + {t} * ({b}.y - {a}.y)}}"
 
 
+def _flat(a: str, b: str, c: str) -> str:
+    return f"abs({_x(a, b, a, c)}) / power(greatest({_d(a, b)}, {_d(b, c)}, {_d(a, c)}, 1.0), 2) < 1e-6 OR abs({_x(a, b, a, c)}) < 1e-4"
+
+
 def _ang(v: str, p: str, q: str) -> str:
     arms = f"({_d(v, p)} * {_d(v, q)})"
     return f"(CASE WHEN {_d(v, p)} >= 1e-12 AND {_d(v, q)} >= 1e-12 THEN degrees(acos(greatest(-1.0, least(1.0, {_o(v, p, v, q)} / {arms})))) END)"
@@ -172,7 +181,6 @@ def _every(items: str, var: str, test: str) -> str:
     return f"(len(list_filter({items}, lambda {var}: NOT coalesce({test}, false))) = 0)"
 
 
-_A, _B = "p1[1]", "p2[1]"
 _T = "(1e-6 * scale)"
 
 
@@ -200,7 +208,7 @@ _SQL_RULES = {
     "on_line": f"{_d(_Q(1), _Q(2))} >= {_T} AND {_off(_P(1), _Q(1), _Q(2))} <= {_T}",
     "on_circle": f"abs({_den(_Q(1), _Q(2), _Q(3))}) >= 1e-12 AND abs({_d('o', _P(1))} - {_d('o', _Q(1))}) <= {_T}",
     "distinct": _every("range(1, len(p1[1]) + 1)", "i", _every("p1[1][i + 1:]", "q", _d("p1[1][i]", "q") + " >= 1e-3 * scale")),
-    "tangent_circles": f"abs({_d(_P(1), _Q(1))} - ({_d(_P(1), _P(2))} + {_d(_Q(1), _Q(2))})) <= {_T}",
+    "tangent_circles": f"abs({_d(_P(1), _Q(1))} - CASE WHEN coalesce(internal, false) THEN abs({_d(_P(1), _P(2))} - {_d(_Q(1), _Q(2))}) ELSE {_d(_P(1), _P(2))} + {_d(_Q(1), _Q(2))} END) <= {_T}",
     "equal_area": f"{_every('p1', 't', _eq(_triangle('t'), _triangle('p1[1]')))}",
     "coincide": f"{_d(_P(1), _P(2))} <= {_T}",
     "midpoint": f"sqrt(power({_P(1)}.x - ({_Q(1)}.x + {_Q(2)}.x) / 2, 2) + power({_P(1)}.y - ({_Q(1)}.y + {_Q(2)}.y) / 2, 2)) <= {_T}",
@@ -212,99 +220,186 @@ _SQL_RULES = {
     "sum_sq_equal": _eq(f"list_sum({_len('p1', 2)})", f"list_sum({_len('p2', 2)})"),
     "ptolemy": _eq(f"({_d(_P(1), _P(3))} * {_d(_P(2), _P(4))})", f"({_d(_P(1), _P(2))} * {_d(_P(3), _P(4))} + {_d(_P(1), _P(4))} * {_d(_P(2), _P(3))})"),
 }
-_LISTS = {
-    "points": "[CAST(c -> '$.points' AS VARCHAR[])]", "lines": "CAST(c -> '$.lines' AS VARCHAR[][])", "tris": "CAST(c -> '$.tris' AS VARCHAR[][])",
-    "point": "[[c ->> '$.point']]", "nothing": "CAST([] AS VARCHAR[][])",
-}
-
-
-def _list(name: str, nested: bool = False) -> str:
-    return _LISTS.get(name) or (f"CAST(c -> '$.{name}' AS VARCHAR[][])" if nested else f"[CAST(c -> '$.{name}' AS VARCHAR[])]")
-
-
+#: Where the names of a check stand, for the two lists of point tuples; a name in capitals has tuples as they are.
 _MEMBERS = {
-    "collinear": ("points", "nothing"), "concyclic": ("points", "nothing"), "concurrent": ("lines", "nothing"), "parallel": ("a", "b"),
-    "perpendicular": ("a", "b"), "equal_len": ("a", "b"), "on_line": ("point", "line"), "distinct": ("points", "nothing"),
-    "equal_area": ("tris", "nothing"), "midpoint": ("point", "of"), "angle_value": ("points", "nothing"), "angle_equal": ("a", "b"),
-    "len_sum_equal": ("a", "b"), "sum_sq_equal": ("a", "b"),
+    "collinear": ("points", ""), "concyclic": ("points", ""), "concurrent": ("LINES", ""), "parallel": ("a", "b"), "perpendicular": ("a", "b"),
+    "equal_len": ("a", "b"), "on_line": ("point", "line"), "on_circle": ("point", "circle"), "distinct": ("points", ""), "tangent_circles": ("c1", "c2"),
+    "equal_area": ("TRIS", ""), "coincide": ("points", ""), "midpoint": ("point", "of"), "len_product_equal": ("PAIRS1", "PAIRS2"), "angle_value": ("points", ""),
+    "angle_equal": ("a", "b"), "angle_double": ("big", "small"), "len_sum_equal": ("A", "B"), "sum_sq_equal": ("A", "B"), "ptolemy": ("points", ""),
 }
-#: Kinds that the tables' checks don't use are tested on the first four points of every problem, by position.
+#: Kinds that the tables' checks don't use are tested on the first four points of every problem, by position, as well.
 _MADE = {
     "on_circle": ([[4]], [[1, 2, 3]]), "tangent_circles": ([[1, 2]], [[3, 4]]), "coincide": ([[1, 2]], []),
     "len_product_equal": ([[1, 2], [3, 4]], [[1, 3], [2, 4]]), "angle_double": ([[1, 2, 3]], [[1, 3, 2]]), "ptolemy": ([[1, 2, 3, 4]], []),
 }
 
-
-def _check_sql(kind: str) -> str:
-    if kind in _MEMBERS:
-        one, two = _MEMBERS[kind]
-        nested = kind in ("len_sum_equal", "sum_sq_equal")
-        source = f"""cx AS (SELECT problem_id, i - 1 AS idx, CAST(checks[i] AS JSON) AS c FROM (SELECT problem_id, checks, unnest(range(1, len(checks) + 1)) AS i FROM prob)),
-nm AS (SELECT problem_id, idx, {_list(one, nested)} AS n1, {_list(two, nested)} AS n2, CAST(c ->> '$.deg' AS DOUBLE) AS deg FROM cx WHERE c ->> '$.type' = '{kind}')"""
-    else:
-        lists = ["[" + ", ".join("[" + ", ".join(f"points[{i}]" for i in g) + "]" for g in side) + "]" if side else "CAST([] AS VARCHAR[][])" for side in _MADE[kind]]
-        source = f"nm AS (SELECT problem_id, 0 AS idx, {lists[0]} AS n1, {lists[1]} AS n2, CAST(NULL AS DOUBLE) AS deg FROM ps WHERE len(points) >= 4)"
-    centre = "p2[1]" if kind == "on_circle" else "p1[1]"
-    return f"""WITH {BUILT}, {source},
-lk AS (SELECT problem_id, trial, idx, scale, deg,
+#: A figure beside those of the tables, under problem -1: the checks on it hold, or fail by little more than their tolerance.
+#: Names with a digit are off by 0.00002 (2) or 0.000002 (3); the tolerance on lengths is 0.000008.
+_HAIR = 2e-5
+PLANTED = {
+    "A": (0, 0), "B": (4, 0), "C": (4, 4), "D": (0, 4), "O": (2, 2), "M": (2, 0), "E": (8, 0), "F": (2 + 8**0.5, 2), "S": (1, 0.5), "T": (2, 0.5), "B2": (4 + _HAIR, 0), "C2": (4, 4 + _HAIR),
+    "D2": (0, 4 + _HAIR), "D3": (_HAIR, 4), "F2": (2 + 8**0.5 + _HAIR, 2), "M2": (2 + _HAIR, 0), "M3": (2 + _HAIR / 10, 0), "N2": (2, _HAIR), "O2": (2, 2 + _HAIR), "O3": (2, 2 + _HAIR / 10), "U2": (2 + _HAIR, 4),
+    "B4": (4.007, 0), "D4": (0.002, 4),
+}
+_two = lambda kind, good, bad: [{"type": kind} | x for x in (good, bad)]
+PLANTED_CHECKS = [
+    *_two("collinear", {"points": ["A", "C", "O3"]}, {"points": ["A", "C", "O2"]}), *_two("concyclic", {"points": ["A", "B", "C", "D"]}, {"points": ["A", "B", "C", "D2"]}),
+    *_two("concurrent", {"lines": [["A", "C"], ["B", "D"], ["M", "O3"]]}, {"lines": [["A", "C"], ["B", "D"], ["M2", "U2"]]}), *_two("parallel", {"a": ["A", "B"], "b": ["D", "C"]}, {"a": ["A", "B"], "b": ["D", "C2"]}),
+    *_two("perpendicular", {"a": ["A", "B"], "b": ["A", "D"]}, {"a": ["A", "B"], "b": ["A", "D3"]}), *_two("equal_len", {"a": ["A", "B"], "b": ["B", "C"]}, {"a": ["A", "B2"], "b": ["B", "C"]}),
+    *_two("on_line", {"point": "E", "line": ["A", "B"]}, {"point": "N2", "line": ["A", "B"]}), *_two("on_circle", {"point": "F", "circle": ["A", "B", "C"]}, {"point": "F2", "circle": ["A", "B", "C"]}),
+    *_two("distinct", {"points": ["A", "B", "O"]}, {"points": ["A", "B", "B4"]}), *_two("tangent_circles", {"c1": ["A", "M"], "c2": ["B", "M"]}, {"c1": ["A", "M2"], "c2": ["B", "M"]}),
+    *_two("tangent_circles", {"c1": ["A", "B"], "c2": ["M", "B"], "internal": True}, {"c1": ["A", "B2"], "c2": ["M", "B"], "internal": True}),
+    *_two("equal_area", {"tris": [["A", "B", "C"], ["A", "C", "D"]]}, {"tris": [["A", "B", "C"], ["A", "C", "D2"]]}), *_two("coincide", {"points": ["O", "O3"]}, {"points": ["O", "O2"]}),
+    *_two("midpoint", {"point": "M3", "of": ["A", "B"]}, {"point": "M2", "of": ["A", "B"]}),
+    *_two("len_product_equal", {"pairs1": [["A", "B"], ["A", "M"]], "pairs2": [["A", "E"], ["S", "T"]]}, {"pairs1": [["A", "B2"], ["A", "M"]], "pairs2": [["A", "E"], ["S", "T"]]}),
+    *_two("angle_value", {"points": ["B", "A", "C"], "deg": 45.005}, {"points": ["B", "A", "C"], "deg": 45.02}), *_two("angle_equal", {"a": ["B", "A", "C"], "b": ["C", "A", "D"]}, {"a": ["B", "A", "C"], "b": ["C", "A", "D4"]}),
+    *_two("angle_double", {"big": ["B", "A", "D"], "small": ["B", "A", "C"]}, {"big": ["B", "A", "D4"], "small": ["B", "A", "C"]}),
+    *_two("len_sum_equal", {"a": [["A", "B"], ["B", "C"]], "b": [["A", "E"]]}, {"a": [["A", "B2"], ["B", "C"]], "b": [["A", "E"]]}), *_two("sum_sq_equal", {"a": [["A", "B"], ["B", "C"]], "b": [["A", "C"]]}, {"a": [["A", "B2"], ["B", "C"]], "b": [["A", "C"]]}),
+    *_two("ptolemy", {"points": ["A", "B", "C", "D"]}, {"points": ["A", "B", "C", "O"]}), *_two("collinear", {"points": ["A", "B", "M"]}, {"points": ["A", "B", "nowhere"]}),
+]
+_PROBE = "problem_id long, trial int, pos int, name string, x double, y double"
+
+
+def _planted_trials(spark: SparkSession, d: str, points: dict[int, dict]) -> DataFrame:
+    """The tables' trials, and one of each of the figures given by (negative) problem id."""
+    rows = [(k, 0, i, n, float(x), float(y)) for k, figure in points.items() for i, (n, (x, y)) in enumerate(figure.items())]
+    more = spark.createDataFrame(rows, _PROBE).withColumns({"recorded_at": F.lit(None).cast("timestamp"), "loaded_at": F.lit(None).cast("timestamp")})
+    return G.trials_of(table(spark, d, "probes").unionByName(more))
+
+
+def _planted_sql(points: dict[int, dict]) -> str:
+    rows = ", ".join(f"({k}, 0, {i}, '{n}', CAST({float(x)!r} AS DOUBLE), CAST({float(y)!r} AS DOUBLE), NULL, NULL)" for k, figure in points.items() for i, (n, (x, y)) in enumerate(figure.items()))
+    return TRIALS.replace("FROM probes)", f"FROM probes UNION ALL VALUES {rows})")
+
+
+def _planted_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The checks of all problems and of the planted figure."""
+    checks = all_problems(spark, d).select("problem_id", "checks")
+    return G.checks_of(checks.unionByName(spark.createDataFrame([(-1, [json.dumps(c) for c in PLANTED_CHECKS])], "problem_id long, checks array<string>")), "problem_id")
+
+
+def _names(member: str) -> str:
+    if not member:
+        return "CAST([] AS VARCHAR[][])"
+    if member == "point":
+        return "[[c ->> '$.point']]"
+    return f"TRY_CAST(c -> '$.{member.lower()}' AS VARCHAR[][])" if member.isupper() else f"[TRY_CAST(c -> '$.{member}' AS VARCHAR[])]"
+
+
+def _by_kind(value) -> str:
+    return "CASE kind " + " ".join(f"WHEN '{k}' THEN {value(k)}" for k in _MEMBERS) + " END"
+
+
+def _checks_sql(made: bool) -> str:
+    """CTEs up to ``ev`` (problem_id, trial, idx, kind, usable, rule): every check on every trial."""
+    values = ", ".join("'" + json.dumps(c) + "'" for c in PLANTED_CHECKS)
+    extra = ""
+    if made:
+        for kind, sides in _MADE.items():
+            lists = ["[" + ", ".join("[" + ", ".join(f"points[{i}]" for i in g) + "]" for g in side) + "]" if side else "CAST([] AS VARCHAR[][])" for side in sides]
+            extra += f" UNION ALL SELECT problem_id, -1, '{kind}', {lists[0]}, {lists[1]}, NULL, NULL FROM ps WHERE len(points) >= 4"
+    centre = lambda p: _centre(p + "[1]", p + "[2]", p + "[3]")
+    return f"""WITH {BUILT.replace(TRIALS, _planted_sql({-1: PLANTED}))},
+ck AS (SELECT problem_id, checks FROM prob UNION ALL SELECT -1, [{values}]),
+cx AS (SELECT problem_id, i - 1 AS idx, CASE WHEN json_valid(checks[i]) THEN CAST(checks[i] AS JSON) END AS c FROM (SELECT problem_id, checks, unnest(range(1, len(checks) + 1)) AS i FROM ck)),
+ckk AS (SELECT problem_id, idx, c, c ->> '$.type' AS kind FROM cx),
+nm AS (SELECT problem_id, idx, kind, {_by_kind(lambda k: _names(_MEMBERS[k][0]))} AS n1, {_by_kind(lambda k: _names(_MEMBERS[k][1]))} AS n2,
+              TRY_CAST(c ->> '$.deg' AS DOUBLE) AS deg, TRY_CAST(c ->> '$.internal' AS BOOLEAN) AS internal FROM ckk{extra}),
+lk AS (SELECT problem_id, trial, idx, kind, scale, deg, internal,
          list_transform(n1, lambda g: list_transform(g, lambda n: map_extract_value(coords, n))) AS p1,
          list_transform(n2, lambda g: list_transform(g, lambda n: map_extract_value(coords, n))) AS p2 FROM co JOIN nm USING (problem_id)),
-us AS (SELECT *, {_centre(centre + "[1]", centre + "[2]", centre + "[3]") if kind in ("concyclic", "on_circle") else "NULL"} AS o,
-         {_cut("p1[1][1]", "p1[1][2]", "p1[2][1]", "p1[2][2]") if kind == "concurrent" else "NULL"} AS k,
-         len(list_filter(list_concat(flatten(p1), flatten(p2)), lambda p: p IS NULL OR NOT (isfinite(p.x) AND isfinite(p.y)))) = 0 AS usable FROM lk)
-SELECT problem_id, trial, CAST(idx AS INTEGER) AS idx, CASE WHEN usable THEN coalesce({_SQL_RULES[kind]}, false) ELSE false END AS holds FROM us"""
+us AS (SELECT *, CASE kind WHEN 'concyclic' THEN {centre("p1[1]")} WHEN 'on_circle' THEN {centre("p2[1]")} END AS o,
+         CASE kind WHEN 'concurrent' THEN {_cut("p1[1][1]", "p1[1][2]", "p1[2][1]", "p1[2][2]")} END AS k,
+         len(p1) > 0 AND len(list_filter(p1, lambda g: g IS NULL)) + len(list_filter(p2, lambda g: g IS NULL)) = 0
+         AND len(list_filter(list_concat(flatten(p1), flatten(p2)), lambda p: p IS NULL OR NOT (isfinite(p.x) AND isfinite(p.y)))) = 0 AS usable FROM lk),
+ev AS (SELECT *, coalesce({_by_kind(lambda k: _SQL_RULES[k])}, false) AS rule FROM us)
+"""
 
 
-def _named(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    if kind in _MEMBERS:
-        return G.checks_of(all_problems(spark, d), "problem_id").where(F.col("kind") == kind)
+def _made(spark: SparkSession, d: str, kind: str) -> DataFrame:
     pts = G.point_steps(all_problems(spark, d), "problem_id").where(F.size("points") >= 4)
     side = lambda groups: F.array(*[F.array(*[F.get("points", F.lit(i - 1)) for i in g]) for g in groups]).cast("array<array<string>>")
     one, two = _MADE[kind]
-    return pts.select("problem_id", F.lit(0).alias("idx"), F.lit(kind).alias("kind"), side(one).alias("names_one"), side(two).alias("names_two"), F.lit(None).cast("double").alias("deg"), F.lit(False).alias("internal"))
+    return pts.select("problem_id", F.lit(-1).alias("idx"), F.lit(kind).alias("kind"), side(one).alias("names_one"), side(two).alias("names_two"), F.lit(None).cast("double").alias("deg"), F.lit(None).cast("boolean").alias("internal"))
 
 
 def _register(kind: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return G.checked(_trials(spark, d), _named(spark, d, kind)).select("problem_id", "trial", "idx", "holds")
+        checks = _planted_checks(spark, d).where(F.col("kind") == kind)
+        checks = checks.unionByName(_made(spark, d, kind)) if kind in _MADE else checks
+        return G.checked(_planted_trials(spark, d, {-1: PLANTED}), checks).select("problem_id", "trial", "idx", "holds")
 
-    query(_check_sql(kind), name=f"check_{kind}")(run)
+    run.__doc__ = f"Checks of kind {kind}: those of the tables, and those on a planted figure, which hold or fail by a hair."
+    query(_checks_sql(kind in _MADE) + f"SELECT problem_id, trial, CAST(idx AS INTEGER) AS idx, coalesce(usable, false) AND rule AS holds FROM ev WHERE kind = '{kind}'", name=f"check_{kind}")(run)
 
 
 for _kind in C.RULES:
     _register(_kind)
 
+_RESULTS = (
+    _checks_sql(False)
+    + f"""
+, re AS (SELECT problem_id, trial, idx, kind, CASE WHEN kind IS NULL OR kind NOT IN ({", ".join(f"'{k}'" for k in _MEMBERS)}) THEN 'unknown'
+         WHEN NOT coalesce(usable, false) THEN 'missing' WHEN NOT rule THEN 'fails' END AS reason FROM ev),
+cg AS (SELECT problem_id, count(*) AS results, bool_and(reason IS NULL) AS ok,
+              arg_min(coalesce(kind, 'none') || ': ' || reason, trial * 1000000 + idx) FILTER (reason IS NOT NULL) AS first_reason FROM re GROUP BY problem_id)
+"""
+)
+_BUILD = """, bg AS (SELECT problem_id, bool_and(len(failed) = 0) AS ok, arg_min(failed, trial) FILTER (len(failed) > 0) AS sample_failure FROM bu GROUP BY problem_id),
+st AS (SELECT bg.problem_id, CASE WHEN NOT bg.ok THEN 'broken' WHEN NOT coalesce(cg.ok, true) THEN 'unproven' ELSE 'accepted' END AS status,
+              CASE WHEN NOT bg.ok THEN array_to_string(sample_failure, ' ') WHEN NOT coalesce(cg.ok, true) THEN first_reason END AS failure
+       FROM bg LEFT JOIN cg USING (problem_id))
+"""
 
-@query()
+
+def _checked(spark: SparkSession, d: str) -> DataFrame:
+    return G.checked(_planted_trials(spark, d, {-1: PLANTED}), _planted_checks(spark, d))
+
+
+@query(_RESULTS + "SELECT problem_id, trial, CAST(idx AS INTEGER) AS idx, kind, reason IS NULL AS holds, reason FROM re")
 def check_results(spark: SparkSession, d: str) -> DataFrame:
     """Every check of every kind on every trial, with the reason of a failure."""
-    return G.checked(_trials(spark, d), G.checks_of(all_problems(spark, d), "problem_id"))
+    return _checked(spark, d)
 
 
-@query()
+@query(_RESULTS + "SELECT * FROM cg")
 def check_gate(spark: SparkSession, d: str) -> DataFrame:
-    return G.gate_checks(G.checked(_trials(spark, d), G.checks_of(all_problems(spark, d), "problem_id")))
+    return G.gate_checks(_checked(spark, d))
 
 
-@query()
+def _gated(spark: SparkSession, d: str) -> DataFrame:
+    trials = _trials(spark, d)
+    checks = G.gate_checks(G.checked(trials, G.checks_of(all_problems(spark, d), "problem_id")))
+    return G.gates_in_order(G.gate_all(G.built(trials, G.point_steps(all_problems(spark, d), "problem_id"))), checks)
+
+
+@query(_RESULTS + _BUILD + "SELECT status, count(*) AS n FROM st GROUP BY status")
 def gate_status(spark: SparkSession, d: str) -> DataFrame:
     """Gates in order, and how many problems end at each."""
-    trials = _built(spark, d)
-    checks = G.gate_checks(G.checked(trials, G.checks_of(all_problems(spark, d), "problem_id")))
-    return M.totals(G.gates_in_order(G.gate_all(trials), checks), "status")
+    return M.totals(_gated(spark, d), "status")
 
 
-@query()
+@query(_RESULTS + _BUILD + "SELECT problem_id, status, failure AS _failure FROM st WHERE status <> 'accepted'")
+def rejected_problems(spark: SparkSession, d: str) -> DataFrame:
+    """The problems that a gate refuses, with what failed first."""
+    rows = _gated(spark, d).where("status <> 'accepted'")
+    return rows.select("problem_id", "status", F.array_join("failure", " ").alias("_failure"))
+
+
+@query(_RESULTS + _BUILD + """, au AS (SELECT bg.problem_id, bg.ok AS built, coalesce(len(prob.checks), 0) > 0 AS has, coalesce(cg.ok, true) AS proved FROM bg JOIN prob USING (problem_id) LEFT JOIN cg USING (problem_id))
+SELECT count(*) AS total, count(*) FILTER (built) AS render_ok, count(*) FILTER (built AND has) AS with_checks, count(*) FILTER (built AND has AND proved) AS checks_ok, count(*) FILTER (built AND NOT has) AS render_only FROM au""")
 def audit_summary(spark: SparkSession, d: str) -> DataFrame:
-    trials = _built(spark, d)
-    proved = G.gate_checks(G.checked(trials, G.checks_of(all_problems(spark, d), "problem_id")))
-    rows = G.gate_all(trials).select("problem_id", F.col("ok").alias("built"))
-    rows = rows.join(proved.select("problem_id", F.col("results").alias("n_checks"), F.col("ok").alias("proved")), "problem_id", "left")
-    return M.audit_summary(rows)
+    """All problems; one without trials has nothing that failed."""
+    trials, problems = _trials(spark, d), all_problems(spark, d)
+    proved = G.gate_checks(G.checked(trials, G.checks_of(problems, "problem_id")))
+    rows = G.gate_all(G.built(trials, G.point_steps(problems, "problem_id"))).select("problem_id", F.col("ok").alias("built"))
+    rows = rows.join(problems.select("problem_id", F.size("checks").alias("n_checks")), "problem_id")
+    rows = rows.join(proved.select("problem_id", F.col("ok").alias("proved")), "problem_id", "left").withColumn("proved", F.coalesce("proved", F.lit(True)))
+    return M.audit_summary(rows.withColumn("n_checks", F.coalesce("n_checks", F.lit(0))))
 
 
 _SCORED = f"""
-WITH {BUILT}, g AS (SELECT problem_id, bool_and(len(failed) = 0) AS built FROM bu GROUP BY problem_id),
+WITH {BUILT}, g AS (SELECT problem_id, bool_and(len(failed) = 0) AND count(trial) > 0 AS built FROM bu GROUP BY problem_id),
 s AS (SELECT p.source, coalesce(len(p.construction_steps), 0) > 0 AS parsed, coalesce(g.built, false) AS built
       FROM problems p LEFT JOIN g ON g.problem_id = p.problem_key)
 SELECT source, count(*) AS total, count(*) FILTER (parsed) AS parse_ok, count(*) FILTER (parsed AND built) AS render_ok,
@@ -316,50 +411,74 @@ FROM s GROUP BY source
 
 @query(_SCORED)
 def score_summary(spark: SparkSession, d: str) -> DataFrame:
-    built = G.gate_all(_built(spark, d)).select(F.col("problem_id").alias("problem_key"), F.col("ok").alias("built"))
+    """A prediction that was never rendered is not render-valid."""
+    built = G.gate_all(_built(spark, d)).select(F.col("problem_id").alias("problem_key"), (F.col("ok") & (F.col("trials") > 0)).alias("built"))
     rows = table(spark, d, "problems").select("problem_key", "source", F.col("construction_steps").alias("steps")).join(built, "problem_key", "left")
     out = M.score(rows, ["source"])
     return out.withColumns({c: F.round(c, 6) for c in ("pct_of_all", "pct_of_parsed")})
 
 
-# Audit predicates on the first points of each trial.
+@query(f"""WITH RECURSIVE {BUILT}, {_GREEDY}, {_REASON}, mj AS ({_MAJORITY}),
+s AS (SELECT coalesce(len(p.construction_steps), 0) > 0 AS parsed, coalesce(mj.kept, false) AS kept FROM problems p LEFT JOIN mj ON mj.problem_id = p.problem_key)
+SELECT count(*) AS total, count(*) FILTER (parsed) AS parsed, count(*) FILTER (parsed AND kept) AS renderable, round(100.0 * count(*) FILTER (parsed) / count(*), 6) AS pct_parsed,
+       round(100.0 * count(*) FILTER (parsed AND kept) / count(*), 6) AS pct_renderable, round(100.0 * count(*) FILTER (parsed AND kept) / count(*) FILTER (parsed), 6) AS pct_of_parsed FROM s""")
+def functional_eval(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions that parse, and that the majority gate keeps."""
+    kept = G.gate_majority(_built(spark, d)).select(F.col("problem_id").alias("problem_key"), "kept")
+    rows = table(spark, d, "problems").select("problem_key", F.col("construction_steps").alias("steps")).join(kept, "problem_key", "left")
+    return M.functional_eval(rows).withColumns({c: F.round(c, 6) for c in ("pct_parsed", "pct_renderable", "pct_of_parsed")})
+
+
+# Audit predicates on the first points of each trial, and of planted figures on which they hold and fail.
 
 _AUDITS = {
-    "equal_len": (4, lambda p: C.audit_equal_len(*p), f"abs({_d('a', 'b')} - {_d('c', 'd')}) <= 1e-4 * greatest(1.0, {_d('a', 'b')}, {_d('c', 'd')})"),
-    "collinear": (3, lambda p: C.audit_collinear(*p), f"abs({_x('a', 'b', 'a', 'c')}) / power(greatest({_d('a', 'b')}, {_d('b', 'c')}, {_d('a', 'c')}, 1.0), 2) < 1e-6 OR abs({_x('a', 'b', 'a', 'c')}) < 1e-4"),
-    "concyclic": (4, lambda p: C.audit_concyclic(*p), f"CASE WHEN abs({_den('a', 'b', 'c')}) < 1e-12 THEN NULL ELSE abs({_d(_centre('a', 'b', 'c'), 'd')} - {_d(_centre('a', 'b', 'c'), 'a')}) <= 1e-3 * greatest(1.0, {_d(_centre('a', 'b', 'c'), 'a')}) END"),
-    "on_circle": (3, lambda p: C.audit_on_circle(p[0], p[1], C.dist(p[1], p[2])), f"abs({_d('a', 'b')} - {_d('b', 'c')}) <= 1e-3 * greatest(1.0, {_d('b', 'c')})"),
-    "perpendicular": (4, lambda p: C.audit_perpendicular(*p), f"coalesce({_d('a', 'b')} >= 1e-9 AND {_d('c', 'd')} >= 1e-9 AND abs({_o('a', 'b', 'c', 'd')}) / nullif({_d('a', 'b')} * {_d('c', 'd')}, 0) < 1e-4, false)"),
-    "parallel": (4, lambda p: C.audit_parallel(*p), f"coalesce({_d('a', 'b')} >= 1e-9 AND {_d('c', 'd')} >= 1e-9 AND abs({_x('a', 'b', 'c', 'd')}) / nullif({_d('a', 'b')} * {_d('c', 'd')}, 0) < 1e-4, false)"),
-    "ratio": (3, lambda p: C.audit_ratio(p[0], p[1], p[2], F.lit(1.0)), f"coalesce({_d('b', 'c')} >= 1e-9 AND abs({_d('a', 'b')} / nullif({_d('b', 'c')}, 0) - 1.0) <= 1e-3 * greatest(1.0, {_d('a', 'b')} / nullif({_d('b', 'c')}, 0)), false)"),
-    "concurrent": (6, lambda p: C.audit_concurrent(*p), f"coalesce(abs({_x('a', 'b', 'c', 'd')}) >= 1e-12 AND abs({_x('a', 'b', 'e', 'f')}) >= 1e-12 AND {_d(_cut('a', 'b', 'c', 'd'), _cut('a', 'b', 'e', 'f'))} < 1e-3 * greatest(1.0, {_d('a', 'b')}), false)"),
+    "equal_len": (4, lambda p: C.audit_equal_len(*p), f"abs({_d('a', 'b')} - {_d('c', 'd')}) <= 1e-4 * greatest(1.0, {_d('a', 'b')}, {_d('c', 'd')})", [(0, 0), (4, 0), (0, 1), (4.0003, 1)], [(0, 0), (4, 0), (0, 1), (4.0005, 1)]),
+    "collinear": (3, lambda p: C.audit_collinear(*p), f"abs({_x('a', 'b', 'a', 'c')}) / power(greatest({_d('a', 'b')}, {_d('b', 'c')}, {_d('a', 'c')}, 1.0), 2) < 1e-6 OR abs({_x('a', 'b', 'a', 'c')}) < 1e-4", [(0, 0), (400, 0), (200, 0.0003)], [(0, 0), (40, 0), (20, 0.0001)]),
+    "concyclic": (4, lambda p: C.audit_concyclic(*p), f"CASE WHEN abs({_den('a', 'b', 'c')}) < 1e-12 THEN ({_flat('a', 'b', 'c')}) AND ({_flat('a', 'b', 'd')}) ELSE abs({_d(_centre('a', 'b', 'c'), 'd')} - {_d(_centre('a', 'b', 'c'), 'a')}) <= 1e-3 * greatest(1.0, {_d(_centre('a', 'b', 'c'), 'a')}) END", [(0, 0), (4, 0), (4, 4), (0, 4.002)], [(0, 0), (4, 0), (4, 4), (0, 4.005)]),
+    "on_circle": (3, lambda p: C.audit_on_circle(p[0], p[1], C.dist(p[1], p[2])), f"abs({_d('a', 'b')} - {_d('b', 'c')}) <= 1e-3 * greatest(1.0, {_d('b', 'c')})", [(4.003, 0), (0, 0), (0, 4)], [(4.005, 0), (0, 0), (0, 4)]),
+    "perpendicular": (4, lambda p: C.audit_perpendicular(*p), f"coalesce({_d('a', 'b')} >= 1e-9 AND {_d('c', 'd')} >= 1e-9 AND abs({_o('a', 'b', 'c', 'd')}) / nullif({_d('a', 'b')} * {_d('c', 'd')}, 0) < 1e-4, false)", [(0, 0), (4, 0), (1, 1), (1.0003, 5)], [(0, 0), (4, 0), (1, 1), (1.0005, 5)]),
+    "parallel": (4, lambda p: C.audit_parallel(*p), f"coalesce({_d('a', 'b')} >= 1e-9 AND {_d('c', 'd')} >= 1e-9 AND abs({_x('a', 'b', 'c', 'd')}) / nullif({_d('a', 'b')} * {_d('c', 'd')}, 0) < 1e-4, false)", [(0, 0), (4, 0), (1, 1), (5, 1.0003)], [(0, 0), (4, 0), (1, 1), (5, 1.0005)]),
+    "ratio": (3, lambda p: C.audit_ratio(p[0], p[1], p[2], F.lit(1.0)), f"coalesce({_d('b', 'c')} >= 1e-9 AND abs({_d('a', 'b')} / nullif({_d('b', 'c')}, 0) - 1.0) <= 1e-3 * greatest(1.0, {_d('a', 'b')} / nullif({_d('b', 'c')}, 0)), false)", [(0, 0), (4.003, 0), (8.003, 0)], [(0, 0), (4.005, 0), (8.005, 0)]),
+    "concurrent": (6, lambda p: C.audit_concurrent(*p), f"coalesce(abs({_x('a', 'b', 'c', 'd')}) >= 1e-12 AND abs({_x('a', 'b', 'e', 'f')}) >= 1e-12 AND {_d(_cut('a', 'b', 'c', 'd'), _cut('a', 'b', 'e', 'f'))} < 1e-3 * greatest(1.0, {_d('a', 'b')}), false)", [(0, 0), (4, 0), (1, -1), (1, 1), (1.003, -1), (1.003, 1)], [(0, 0), (4, 0), (1, -1), (1, 1), (1.005, -1), (1.005, 1)]),
 }
+#: Points on one line, on which the circle through three has no centre.
+_LINES = {-3: [(0, 0), (1, 0), (2, 0), (5, 0)], -4: [(0, 0), (1, 0), (2, 0), (5, 1)]}
 
 
 def _register_audit(name: str) -> None:
-    n, rule, sql = _AUDITS[name]
+    n, rule, sql, good, bad = _AUDITS[name]
     letters = "abcdef"[:n]
     points = ", ".join(f"pts[{i + 1}] AS {c}" for i, c in enumerate(letters))
+    planted = {-1: good, -2: bad} | (_LINES if name == "concyclic" else {})
+    figures = {k: {c: p for c, p in zip("abcdef", v)} for k, v in planted.items()}
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        rows = _trials(spark, d).where((F.size("pts") >= n) & (F.size(G.out_of_bounds(F.col("pts"))) == 0))
+        trials = _planted_trials(spark, d, figures).where(F.size(G.out_of_bounds(F.col("pts"))) == 0)
+        # as in the audit itself, renders that failed are left out
+        points = G.point_steps(all_problems(spark, d), "problem_id").unionByName(spark.createDataFrame([(k, 1, []) for k in figures], "problem_id long, n_steps int, points array<string>"))
+        rows = G.built(trials, points).where((F.size("failed") == 0) & (F.size("pts") >= n))
         return rows.select("problem_id", "trial", rule([F.get("pts", F.lit(i)) for i in range(n)]).alias("holds"))
 
-    query(f"WITH {TRIALS}, q AS (SELECT problem_id, trial, {points} FROM co WHERE len(pts) >= {n} AND len({_BOUNDS}) = 0) SELECT problem_id, trial, {sql} AS holds FROM q", name=f"audit_{name}")(run)
+    built = BUILT.replace(TRIALS, _planted_sql(figures)).replace("FROM prob)", "FROM prob UNION ALL VALUES " + ", ".join(f"({k}, 1, CAST([] AS VARCHAR[]))" for k in figures) + ")")
+    query(f"WITH {built}, q AS (SELECT problem_id, trial, {points} FROM bu WHERE len(failed) = 0 AND len(pts) >= {n} AND len({_BOUNDS}) = 0) SELECT problem_id, trial, {sql} AS holds FROM q", name=f"audit_{name}")(run)
 
 
 for _name in _AUDITS:
     _register_audit(_name)
 
 
-@query(f"""WITH {TRIALS}, f AS (SELECT * FROM pt WHERE isfinite(x) AND isfinite(y)),
+@query(f"""WITH {TRIALS},
+vs AS (SELECT problem_id, CAST(i - 1 AS INTEGER) AS pos FROM (SELECT problem_id, construction_steps AS s, unnest(range(1, len(construction_steps) + 1)) AS i FROM prob) WHERE coalesce(s[i].type, '') <> 'construction' AND s[i] IS NOT NULL),
+f AS (SELECT pt.* FROM pt JOIN vs USING (problem_id, pos) WHERE isfinite(x) AND isfinite(y)),
 b AS (SELECT problem_id, trial, min(x) lx, max(x) hx, min(y) ly, max(y) hy FROM f GROUP BY problem_id, trial),
 u AS (SELECT *, greatest((hx - lx + 2 * greatest((hx - lx) * 0.18, 1.5)) / 800, (hy - ly + 2 * greatest((hy - ly) * 0.18, 1.5)) / 600) AS u FROM b)
 SELECT problem_id, trial, round((lx + hx) / 2 - u * 400, 5) AS x_min, round((lx + hx) / 2 + u * 400, 5) AS x_max,
        round((ly + hy) / 2 - u * 300, 5) AS y_min, round((ly + hy) / 2 + u * 300, 5) AS y_max FROM u""")
 def view_box(spark: SparkSession, d: str) -> DataFrame:
-    pts = _trials(spark, d).select("problem_id", "trial", F.explode("pts").alias("p")).select("problem_id", "trial", "p.x", "p.y")
-    box = G.view_box(pts)
+    """The window of each trial around the points shown; helpers are hidden and don't widen it."""
+    pts = _trials(spark, d).select("problem_id", "trial", F.explode("pts").alias("p")).select("problem_id", "trial", "p.pos", "p.x", "p.y")
+    shown = _steps(spark, d).where("coalesce(type, '') <> 'construction'").select("problem_id", "pos")
+    box = G.view_box(pts.join(shown, ["problem_id", "pos"]))
     return box.select("problem_id", "trial", *[F.round(c, 5).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepquarry.functions import replies as J
@@ -13,7 +13,7 @@ from stepquarry.operators import metrics as M
 from stepquarry.plans.figure_queries import STEPS, all_problems
 from stepquarry.plans.registry import query
 from stepquarry.plans.runtime import settle, shared_path
-from stepquarry.sources import jsonl
+from stepquarry.sources import jsonl, sinks
 from stepquarry.sources.tables import table
 from stepquarry.streaming import curation
 
@@ -62,45 +62,49 @@ def signature_sets(spark: SparkSession, d: str) -> DataFrame:
 
 
 _MATCH = f"""
-WITH r AS (SELECT id AS k, {_words('problem_statement')} AS w, {_heads('construction_steps')} AS h FROM fewshot_problems
-           UNION ALL SELECT problem_key, {_words('problem_statement')}, {_heads('construction_steps')} FROM problems),
-n AS (SELECT new_id, {_words('problem_statement')} AS w, {_heads('construction_steps')} AS h FROM new_geometry_problems),
-p AS (SELECT n.new_id, r.k AS ref_id, {_jac('n.w', 'r.w')} AS words_j, {_jac('n.h', 'r.h')} AS heads_j FROM n, r),
-b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY new_id ORDER BY words_j DESC, ref_id) AS rn FROM p) WHERE rn = 1 AND words_j >= 0.4)
+WITH r AS (SELECT 'fewshot' AS source, id AS k, {_words('problem_statement')} AS w, {_heads('construction_steps')} AS h FROM fewshot_problems
+           UNION ALL SELECT 'accepted', problem_key, {_words('problem_statement')}, {_heads('construction_steps')} FROM problems),
+n AS (SELECT new_id, {_words('problem_statement')} AS w, {_heads('construction_steps')} AS h FROM new_geometry_problems WHERE id IS DISTINCT FROM 1),
+p AS (SELECT n.new_id, r.k AS ref_id, r.source, {_jac('n.w', 'r.w')} AS words_j, {_jac('n.h', 'r.h')} AS heads_j FROM n, r),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY new_id ORDER BY words_j DESC, ref_id) AS rn FROM p) WHERE rn = 1 AND words_j > 0)
 """
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
-    parts = [(table(spark, d, "fewshot_problems"), "id"), (table(spark, d, "problems"), "problem_key")]
+    parts = [("fewshot", table(spark, d, "fewshot_problems"), "id"), ("accepted", table(spark, d, "problems"), "problem_key")]
     text, steps = F.col("problem_statement"), F.col("construction_steps")
-    refs = [D.features(t, F.col(k), text, steps) for t, k in parts]
+    refs = [D.features(t, F.col(k), text, steps, name) for name, t, k in parts]
     refs = settle(refs[0].unionByName(refs[1]), "refs")
-    new = settle(D.features(table(spark, d, "new_geometry_problems"), F.col("new_id"), text, steps), "new")
-    return D.best_match(new, refs)
+    # the row with id 1 is a reference problem itself and is not looked at
+    rows = table(spark, d, "new_geometry_problems").where("NOT id <=> 1")
+    return D.best_match(settle(D.features(rows, F.col("new_id"), text, steps, "new"), "new"), refs)
 
 
-@query(_MATCH + "SELECT new_id, ref_id, words_j, heads_j FROM b")
+@query(_MATCH + "SELECT new_id, ref_id, source, words_j, heads_j FROM b")
 def dup_best_match(spark: SparkSession, d: str) -> DataFrame:
     return _matches(spark, d)
 
 
-@query(_MATCH + "SELECT new_id, ref_id, words_j, heads_j, left(g.problem_statement, 54) AS shown FROM b JOIN new_geometry_problems g USING (new_id) WHERE words_j >= 0.5 OR heads_j >= 0.85")
+@query(_MATCH + "SELECT new_id, ref_id, source, words_j, heads_j, left(g.problem_statement, 70) AS shown FROM b JOIN new_geometry_problems g USING (new_id) WHERE words_j >= 0.5 OR (words_j >= 0.4 AND heads_j >= 0.85)")
 def dup_flagged(spark: SparkSession, d: str) -> DataFrame:
-    shown = table(spark, d, "new_geometry_problems").select("new_id", F.left("problem_statement", F.lit(54)).alias("shown"))
-    return D.flagged(_matches(spark, d)).join(shown, "new_id").orderBy(F.desc("words_j"), "new_id")
+    """The likely duplicates, most similar first by two places, else in the order of the rows."""
+    shown = table(spark, d, "new_geometry_problems").select("new_id", F.left("problem_statement", F.lit(70)).alias("shown"))
+    return D.flagged(_matches(spark, d)).join(shown, "new_id").orderBy(F.desc(F.bround("words_j", 2)), "new_id")
 
 
 _NEW = """
 WITH k AS (SELECT DISTINCT trim(coalesce(problem_statement, '')) AS k FROM (SELECT problem_statement FROM problems UNION ALL SELECT problem_statement FROM fewshot_problems)),
-n AS (SELECT new_id, id, batch_id, problem_statement, construction_steps, trim(coalesce(problem_statement, '')) AS k FROM new_geometry_problems),
-f AS (SELECT *, k IN (SELECT k FROM k) OR row_number() OVER (PARTITION BY k ORDER BY batch_id, new_id) > 1 AS is_dup FROM n)
+n AS (SELECT new_id, id, batch_id, problem_statement, construction_steps, trim(coalesce(problem_statement, '')) AS k, coalesce(len(construction_steps), 0) > 0 AS passes,
+             row_number() OVER (ORDER BY batch_id, new_id) AS place FROM new_geometry_problems),
+f AS (SELECT *, k IN (SELECT k FROM k) OR coalesce(min(CASE WHEN passes THEN place END) OVER (PARTITION BY k) < place, false) AS is_dup FROM n)
 """
 
 
 def _checked_new(spark: SparkSession, d: str) -> DataFrame:
+    """New rows with is_dup; the gate that a row must pass is that it has steps."""
     new = table(spark, d, "new_geometry_problems").select("new_id", "id", "batch_id", "problem_statement", "construction_steps")
     known = all_problems(spark, d).select("problem_statement")
-    return D.new_statements(new, known, ["batch_id", "new_id"])
+    return D.new_statements(new, known, ["batch_id", "new_id"], F.size("construction_steps") > 0)
 
 
 @query(_NEW + "SELECT new_id, is_dup FROM f")
@@ -120,12 +124,40 @@ def antijoin_existing(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "new_geometry_problems").withColumn("s", F.trim("problem_statement")).join(known, "s", "left_anti").select("new_id")
 
 
-@query(_NEW + ", m AS (SELECT greatest(coalesce(max(id), 0), 1000) AS m FROM problems) SELECT new_id, m + row_number() OVER (ORDER BY batch_id, new_id) AS assigned FROM f, m WHERE NOT is_dup")
+_IDS = _NEW + ", m AS (SELECT greatest(coalesce(max(id), 0), 999) AS m FROM problems), i AS (SELECT *, m + row_number() OVER (ORDER BY place) AS assigned FROM f, m WHERE NOT is_dup AND passes) "
+
+
+def _accepted_new(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted new rows with ids that go on from the greatest known one, 1000 at least, in order of acceptance."""
+    fresh = _checked_new(spark, d).where("passes and not is_dup").select(F.col("new_id").alias("row_id"), "batch_id", F.trim("problem_statement").alias("problem_statement"), "construction_steps")
+    return K.next_ids(fresh, ["batch_id", "row_id"], table(spark, d, "problems"))
+
+
+@query(_IDS + "SELECT new_id, assigned FROM i")
 def id_continuation(spark: SparkSession, d: str) -> DataFrame:
-    """Ids of accepted rows go on from the greatest known one, in order of acceptance."""
-    fresh = _checked_new(spark, d).where("not is_dup").select("new_id", "batch_id")
-    rows = K.next_ids(fresh.withColumnRenamed("new_id", "row_id"), ["batch_id", "row_id"], table(spark, d, "problems"))
-    return rows.select(F.col("row_id").alias("new_id"), F.col("new_id").alias("assigned"))
+    return _accepted_new(spark, d).select(F.col("row_id").alias("new_id"), F.col("new_id").alias("assigned"))
+
+
+def _commands(steps: str = "construction_steps") -> str:
+    return f"array_to_string([s.command for s in {steps} if s.command IS NOT NULL], chr(10))"
+
+
+def _as_commands() -> Column:
+    """The commands of a row's steps, a line each, as a text that SQL has as well."""
+    return F.array_join(F.transform(F.filter("construction_steps", lambda s: s["command"].isNotNull()), lambda s: s["command"]), "\n")
+
+
+@query(_IDS + f"SELECT assigned AS id, trim(problem_statement) AS problem_statement, {_commands()} AS commands FROM i")
+def accepted_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What is kept of an accepted row: its id, stripped statement and steps."""
+    return _accepted_new(spark, d).select(F.col("new_id").alias("id"), "problem_statement", _as_commands().alias("commands"))
+
+
+@query(_NEW + "SELECT new_id, problem_statement, 'no construction_steps' AS _failure FROM f WHERE NOT is_dup AND NOT passes")
+def rejected_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that failed the gate, as they came, with why."""
+    rows = _checked_new(spark, d).where("not passes and not is_dup")
+    return rows.select("new_id", "problem_statement", F.lit("no construction_steps").alias("_failure"))
 
 
 @query("SELECT 'fewshot' AS _source, count(*) AS n FROM fewshot_problems UNION ALL SELECT 'accepted', count(*) FROM problems UNION ALL SELECT 'new', count(*) FROM new_geometry_problems")
@@ -210,12 +242,12 @@ def chat_format(spark: SparkSession, d: str) -> DataFrame:
     return K.chat(K.expanded(problems.join(train, "problem_key", "left_semi").select("problem_key", "problem_statement", "construction_steps")), ["problem_key", "variant"])
 
 
-@query(_SPLIT + "SELECT source, id, problem_statement, len(construction_steps) AS steps FROM problems WHERE problem_key IN (SELECT problem_key FROM e WHERE rn <= held)")
+@query(_SPLIT + f"SELECT source, id, problem_statement, {_commands()} AS commands FROM problems WHERE problem_key IN (SELECT problem_key FROM e WHERE rn <= held)")
 def eval_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out rows with their steps as they were."""
     problems = table(spark, d, "problems")
     held = K.split_by_source(problems, "problem_key").where("split = 'eval'").select("problem_key")
-    steps = F.when(F.col("construction_steps").isNotNull(), F.size("construction_steps").cast("long"))
-    return problems.join(held, "problem_key", "left_semi").select("source", "id", "problem_statement", steps.alias("steps"))
+    return problems.join(held, "problem_key", "left_semi").select("source", "id", "problem_statement", _as_commands().alias("commands"))
 
 
 _LENGTHS = """
@@ -234,6 +266,36 @@ def seq_len_hint(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").agg(F.max("n_chars").alias("m")).select(K.sequence_length(F.col("m")).alias("seq_len"))
 
 
+_CHATS = """
+WITH c AS (SELECT coalesce(list_sum([coalesce(length(m.content), 0) for m in messages]), 0) AS "full", coalesce(length(messages[-1].content), 0) AS completion FROM train),
+s AS (SELECT 'full' AS measure, CAST("full" AS BIGINT) AS v FROM c UNION ALL SELECT 'completion', completion FROM c
+      UNION ALL SELECT 'steps', len(construction_steps) FROM problems WHERE construction_steps IS NOT NULL),
+v AS (SELECT measure, v, row_number() OVER (PARTITION BY measure ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY measure) AS n FROM s)
+"""
+
+
+@query(_CHATS + "SELECT measure, n, max(v) AS max, max(v) FILTER (i = least(n - 1, floor(0.5 * n))) AS q50, max(v) FILTER (i = least(n - 1, floor(0.95 * n))) AS q95 FROM v GROUP BY measure, n")
+def chat_length_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Characters of whole chat examples and of their completions, and steps of problems."""
+    sizes = K.chat_lengths(table(spark, d, "train"))
+    steps = table(spark, d, "problems").where("construction_steps is not null").select(F.lit("steps").alias("measure"), F.size("construction_steps").cast("long").alias("v"))
+    each = sizes.select(F.explode(F.create_map(F.lit("full"), "full", F.lit("completion"), "completion")).alias("measure", "v"))
+    return K.quantiles(each.unionByName(steps), "measure", "v")
+
+
+@query(_CHATS + 'SELECT CAST(round_even(max("full") / 3.5, 0) AS BIGINT) AS tokens, CAST(greatest(1024, 256 * (floor(round_even(max("full") / 3.5, 0) / 256) + 1)) AS BIGINT) AS seq_len FROM c')
+def chat_seq_len(spark: SparkSession, d: str) -> DataFrame:
+    longest = K.chat_lengths(table(spark, d, "train")).agg(F.max("full").alias("m"))
+    return longest.select(F.bround(F.col("m") / K.CHARS_PER_TOKEN, 0).cast("long").alias("tokens"), K.sequence_length(F.col("m")).alias("seq_len"))
+
+
+@query("SELECT count(*) AS attempts, count(*) FILTER (ok) AS accepted, CAST(coalesce(sum(length(record)), 0) AS BIGINT) AS characters, count(*) FILTER (ok) / greatest(count(*), 1) AS yield FROM (SELECT record, coalesce(json_valid(record) AND json_type(CAST(CASE WHEN json_valid(record) THEN record END AS JSON), '$.construction_steps') = 'ARRAY', false) AS ok FROM raw_candidates)")
+def candidate_yield(spark: SparkSession, d: str) -> DataFrame:
+    """How many candidate records can be used, and how much text came in all."""
+    rows = table(spark, d, "raw_candidates").withColumn("size", F.char_length("record"))
+    return M.yields(rows, jsonl.load_error(F.col("record")).isNull(), characters="size")
+
+
 _ATTEMPTS = """
 WITH t AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY new_id) AS attempt FROM new_geometry_problems),
 o AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY new_id) AS number FROM t WHERE attempt <= 40 AND len(construction_steps) > 0)
@@ -248,14 +310,9 @@ def attempt_cap(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("batch_id", "new_id", F.col("attempt").cast("long"), F.col("number").cast("long"))
 
 
-_STATUS = _NEW + "SELECT CASE WHEN is_dup THEN 'duplicate' WHEN coalesce(len(construction_steps), 0) = 0 THEN 'no_steps' ELSE 'accepted' END AS status, count(*) AS n FROM f GROUP BY 1"
-
-
-@query(_STATUS)
+@query(_NEW + "SELECT CASE WHEN is_dup THEN 'duplicate' WHEN NOT passes THEN 'no_steps' ELSE 'accepted' END AS status, count(*) AS n FROM f GROUP BY 1")
 def status_totals(spark: SparkSession, d: str) -> DataFrame:
-    rows = _checked_new(spark, d)
-    empty = F.coalesce(F.size("construction_steps"), F.lit(0)) == 0
-    return M.totals(rows.withColumn("status", F.when(F.col("is_dup"), "duplicate").when(empty, "no_steps").otherwise("accepted")), "status")
+    return M.totals(_checked_new(spark, d).withColumn("status", F.when(F.col("is_dup"), "duplicate").when(~F.col("passes"), "no_steps").otherwise("accepted")), "status")
 
 
 @query("SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS html FROM documents")
@@ -263,7 +320,7 @@ def escape_html(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", W.escaped(F.col("text")).alias("html"))
 
 
-@query("SELECT line_no, CASE WHEN record IS NULL OR NOT json_valid(record) THEN 'not_json' WHEN coalesce(json_type(CAST(record AS JSON), '$.construction_steps'), '') <> 'ARRAY' THEN 'no_steps' END AS load_error FROM raw_candidates")
+@query("SELECT line_no, CASE WHEN trim(coalesce(record, ''), E' \\t\\n\\r') = '' THEN 'empty' WHEN NOT json_valid(record) THEN 'not_json' WHEN coalesce(json_type(CAST(record AS JSON), '$.construction_steps'), '') <> 'ARRAY' THEN 'no_steps' END AS load_error FROM raw_candidates")
 def load_errors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "raw_candidates").select("line_no", jsonl.load_error(F.col("record")).alias("load_error"))
 
@@ -281,6 +338,24 @@ def reply_is_json(spark: SparkSession, d: str) -> DataFrame:
     return rows.where("m.content is not null").select("ex_id", F.try_parse_json("m.content").isNotNull().alias("whole"))
 
 
+_GREEDY = """
+WITH a AS (SELECT ex_id, unnest(messages) AS m FROM train),
+g AS (SELECT ex_id, regexp_extract(m.content, '\\{.*\\}', 0, 's') AS j FROM a WHERE lower(m.role) = 'assistant' AND m.content IS NOT NULL),
+s AS (SELECT ex_id, CASE WHEN j <> '' AND json_valid(j) THEN CASE WHEN json_type(j, '$.construction_steps') = 'ARRAY' THEN CAST(json_extract(j, '$.construction_steps') AS JSON[])
+             WHEN json_type(j, '$.construction_steps') IS NULL THEN CAST([] AS JSON[]) END END AS s FROM g)
+SELECT ex_id, len(s) AS steps, array_to_string([lower(x ->> '$.class') for x in s if x ->> '$.class' IS NOT NULL], ',') AS classes FROM s
+"""
+
+
+@query(_GREEDY)
+def reply_greedy(spark: SparkSession, d: str) -> DataFrame:
+    """Steps of what stands between the first and the last brace of each reply, with classes in lower case."""
+    rows = table(spark, d, "train").select("ex_id", F.explode(F.filter("messages", lambda m: F.lower(m["role"]) == "assistant")).alias("m")).where("m.content is not null")
+    steps = F.from_json(J.greedy_steps("m.content"), "array<struct<class:string>>")
+    rows = rows.select("ex_id", steps.alias("s"))
+    return rows.select("ex_id", F.when(F.col("s").isNotNull(), F.size("s").cast("long")).alias("steps"), F.array_join(F.transform("s", lambda x: x["class"]), ",").alias("classes"))
+
+
 _REPAIRED = r"""regexp_replace(regexp_replace(regexp_replace(record, '\}\s*\{', '}, {', 'g'), '"\s+"', '", "', 'g'), ',\s*([}\]])', '\1', 'g')"""
 
 
@@ -297,11 +372,62 @@ def ordered_lookup(spark: SparkSession, d: str) -> DataFrame:
     return jsonl.in_order(table(spark, d, "fewshot_problems"), "id", [7, 3, 80, 999]).select("id", "problem_statement")
 
 
-@query("WITH k AS (SELECT record, max(line_no) AS line_no, min(line_no) AS first_position FROM raw_candidates WHERE record IS NOT NULL GROUP BY record) SELECT line_no, first_position FROM k")
+@query("""WITH v AS (SELECT line_no, CASE WHEN json_type(j, '$.id') IN ('BIGINT', 'UBIGINT') THEN CAST(j ->> '$.id' AS BIGINT) END AS id
+           FROM (SELECT line_no, CAST(CASE WHEN json_valid(record) THEN record END AS JSON) AS j FROM raw_candidates)),
+k AS (SELECT id, max(line_no) AS line_no, min(line_no) AS first_position FROM v WHERE id IS NOT NULL GROUP BY id) SELECT id, line_no, first_position FROM k""")
 def keyed_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Of redelivered records the last delivery, at the place of the first."""
-    rows = table(spark, d, "raw_candidates").where("record is not null").select(F.xxhash64("record").alias("k"), "line_no")
-    return jsonl.last_of_each(rows, "k", "line_no").select("line_no", "first_position")
+    """Of the records with one id the last, at the place of the first; lines that can't be read, or have no whole id, are left out."""
+    value = F.try_variant_get(F.try_parse_json("record"), "$.id", "variant")
+    whole = F.schema_of_variant(value) == "BIGINT"
+    rows = table(spark, d, "raw_candidates").select("line_no", F.when(whole, F.try_variant_get(value, "$", "bigint")).alias("id")).where("id is not null")
+    return jsonl.last_of_each(rows, "id", "line_no").select("id", "line_no", "first_position")
+
+
+@query("SELECT problem_key, problem_statement FROM problems")
+def jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Written as JSON lines over what was there before, and read strictly."""
+    path = shared_path(spark, "lines")
+    rows = table(spark, d, "problems").select("problem_key", "problem_statement")
+    sinks.overwrite(rows.limit(1), path)
+    sinks.overwrite(rows, path)
+    return jsonl.strict(spark, path, "problem_key long, problem_statement string")
+
+
+@query("SELECT id, 2 AS n FROM fewshot_problems")
+def jsonl_appended(spark: SparkSession, d: str) -> DataFrame:
+    """Appended twice, and nothing once, to a file that was not there: each row is there twice."""
+    path, rows = shared_path(spark, "lines"), table(spark, d, "fewshot_problems").select("id")
+    before = jsonl.if_there(spark, path, "id long")
+    for more in (rows, rows.limit(0), rows):
+        sinks.append_accepted(more, path)
+    return M.totals(before.unionByName(jsonl.strict(spark, path, "id long")), "id")
+
+
+@query("SELECT 'kept' AS sink, count(*) AS n FROM fewshot_problems UNION ALL SELECT 'rejects', 0 UNION ALL SELECT 'stale', count(*) FROM fewshot_problems")
+def guarded_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """An empty result leaves old rejects where they are, or replaces them; kept rows are written if there are any."""
+    rows, schema = table(spark, d, "fewshot_problems").select("id"), "id long"
+    kept, rejects, stale = (shared_path(spark, n) for n in ("kept", "rejects", "stale"))
+    for path, only in ((rejects, False), (stale, True)):
+        sinks.overwrite(rows, path)
+        sinks.write_rejects(rows.limit(0), path, only_if_any=only)
+    sinks.keep(rows, kept)
+    sinks.keep(rows.limit(0), kept)
+    counts = [spark.read.schema(schema).json(p).agg(F.lit(n).alias("sink"), F.count("*").alias("n")) for n, p in (("kept", kept), ("rejects", rejects), ("stale", stale))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("SELECT id, problem_statement FROM fewshot_problems")
+def report_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The fixed reference problems as one JSON array, read back."""
+    report = sinks.array_report(table(spark, d, "fewshot_problems").select("id", "problem_statement"), "id")
+    return report.select(F.explode(F.from_json("report", "array<struct<id:long,problem_statement:string>>")).alias("r")).select("r.id", "r.problem_statement")
+
+
+@query("SELECT 'Rules.' || chr(10) || chr(10) || string_agg(to_json({'id': id, 'problem_statement': problem_statement}), chr(10) || chr(10) ORDER BY id) AS prompt FROM fewshot_problems WHERE id IN (3, 7, 80)")
+def prompt_text(spark: SparkSession, d: str) -> DataFrame:
+    """Rules and chosen examples as one text."""
+    return K.prompt("Rules.", table(spark, d, "fewshot_problems").where("id IN (3, 7, 80)").select("id", "problem_statement"), "id")
 
 
 @query(_NEW + ", a AS (SELECT DISTINCT k FROM f WHERE len(construction_steps) > 0 AND k NOT IN (SELECT k FROM k)) SELECT k AS statement FROM a")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PROBLEM = (
@@ -62,13 +62,8 @@ def union_tagged(**tables: DataFrame) -> DataFrame:
 
 
 def load_error(text: Column) -> Column:
-    """Why a pasted record can't be used: not_json, no_steps or null if it can."""
+    """Why a pasted record can't be used: empty, not_json, no_steps or null if it can."""
     value = F.try_parse_json(text)
     steps = F.try_variant_get(value, "$.construction_steps", "array<variant>")
-    return F.when(value.isNull(), "not_json").when(steps.isNull(), "no_steps")
-
-
-def first_rows(df: DataFrame, group: list[str], order: list[str], n: int = 1) -> DataFrame:
-    """The first n rows of each group."""
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    blank = F.coalesce(text, F.lit("")).rlike(r"^\s*$")
+    return F.when(blank, "empty").when(value.isNull(), "not_json").when(steps.isNull(), "no_steps")

@@ -102,8 +102,8 @@ def test_degeneracy(spark):
 
 
 def trials(spark, failing, sound=((0.0, 0.0), (3.0, 0.0), (0.0, 3.0))):
-    rows = [(1, t, bad, [(i, f"P{i}", x, y) for i, (x, y) in enumerate(sound)]) for t, bad in enumerate(failing)]
-    return spark.createDataFrame(rows, "problem_id long, trial int, failed array<string>, pts array<struct<pos:int,name:string,x:double,y:double>>")
+    rows = [(1, 3, t, bad, [(i, f"P{i}", x, y) for i, (x, y) in enumerate(sound)]) for t, bad in enumerate(failing)]
+    return spark.createDataFrame(rows, "problem_id long, n_steps int, trial int, failed array<string>, pts array<struct<pos:int,name:string,x:double,y:double>>")
 
 
 def test_gates_by_vote(spark):
@@ -116,6 +116,17 @@ def test_gates_by_vote(spark):
     assert G.gate_all(trials(spark, [ok]).limit(0)).count() == 0
 
 
+def test_problems_without_steps_or_trials_are_counted(spark):
+    step = "struct<name:string,class:string>"
+    problems = spark.createDataFrame([(1, [("A", "point")]), (2, []), (3, None), (4, [("A", "point")]), (5, [("l", "line")])], f"id long, construction_steps array<{step}>")
+    rows = [(k, t, 0, n, x, 1.0, "1", "1") for k in (1, 2, 5) for t in range(20) for n, x in (("A", float(t)),)] + [(9, 0, 0, "A", 1.0, 1.0, "1", "1")]
+    built = G.built(G.trials_of(probes(spark, rows)), G.point_steps(problems, "id"))
+    got = {r["problem_id"]: (r["clean"], r["trials"], r["ok"]) for r in G.gate_all(built).collect()}
+    assert got == {1: (20, 20, True), 2: (20, 20, True), 3: (0, 0, True), 4: (0, 0, True), 5: (20, 20, True)}
+    kept = {r["problem_id"]: (r["kept"], r["last_reason"]) for r in G.gate_majority(built).collect()}
+    assert kept == {1: (True, None), 2: (False, "no_steps"), 3: (False, "no_steps"), 4: (False, "no_trials"), 5: (True, None)}
+
+
 def test_parameters_of_points_on_paths(spark):
     steps = [("O", "point", "(0, 0)"), ("w", "circle", "Circle(O, 3)"), ("l", "line", "Line(O, A)")]
     steps += [(f"P{i}", "point", " Point(w) ") for i in range(5)] + [("Q", "point", "Point(l)"), ("R", "point", "Point(w, 0.5)"), ("S", "point", "Point((1,2))"), ("T", "point", "Point(Line(A, B))"), ("U", "point", "Point(Segment(A, B))"), ("V", "point", None)]

@@ -33,8 +33,8 @@ def test_keyed_and_ordered(spark):
 
 
 def test_load_error(spark):
-    rows = spark.createDataFrame([("{",), ("{}",), ('{"construction_steps": []}',), (None,)], "t string")
-    assert [r[0] for r in rows.select(jsonl.load_error(F.col("t"))).collect()] == ["not_json", "no_steps", None, "not_json"]
+    rows = spark.createDataFrame([("{",), ("{}",), ('{"construction_steps": []}',), (None,), (" \n",)], "t string")
+    assert [r[0] for r in rows.select(jsonl.load_error(F.col("t"))).collect()] == ["not_json", "no_steps", None, "empty", "empty"]
 
 
 def test_sinks(spark, tmp_path):
