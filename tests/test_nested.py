@@ -45,15 +45,41 @@ def test_positions_names_and_arguments(spark):
 
 def test_merged_schema_and_child_tables_keep_links(spark):
     records = ['{"a": [{"x": 1, "X": true}, {"x": 2.5, "_key": "k"}], "o": {"p": "q"}}', '{"a": [{"x": null, "b": [[1, 2], ["s"]]}], "o": null}']
-    nodes = N.shred(rows(spark, *records), "line_no", "record")
+    nodes = N.settled_nodes(N.shred(rows(spark, *records), "line_no", "record"))
     kinds = {(r["table"], r["field"]): r["kinds"] for r in N.merged_schema(nodes).collect()}
-    assert kinds["", "o"] == ["null", "object"] and kinds["a", "x"] == ["null", "number"] and kinds["a.b[]", ""] == ["number", "string"]
-    tables = N.child_tables(nodes, "line_no")
+    assert kinds["", "o"] == ["null", "object"] and kinds["a", "x"] == ["double", "long", "null"] and kinds["a.b[]", ""] == ["long", "string"]
+    tables = {k: t.frame for k, t in N.child_tables(nodes, "line_no").items()}
     types = dict(tables["a"].dtypes)
     assert (types["X"], types["x_2"], types["_key_2"], types["_key"]) == ("boolean", "double", "string", "bigint")
     child, parent = tables["a.b[]"], tables["a.b"]
-    orphans = child.join(parent, (child["_key"] == parent["_key"]) & (child["_parent"] == parent["_node"]), "left_anti")
+    orphans = child.join(parent, (child["_key"] == parent["_key"]) & (child["_parent"] == parent["_node"]) & (child["_parent_path"] == parent["_path"]), "left_anti")
     assert child.count() == 3 and orphans.count() == 0
+    # strings and numbers of one field are kept apart
+    assert {(r["value_string"], r["value_number"]) for r in child.collect()} == {(None, 1), (None, 2), ("s", None)}
+
+
+def test_integers_stay_as_they_are(spark):
+    big = ["9007199254740993", "-9223372036854775808", "9223372036854775808", "1" * 30, "1e3", "1" * 50]
+    def column(*numbers):
+        (t,) = N.child_tables(N.shred(rows(spark, *[f'{{"n": {n}}}' for n in numbers]), "line_no", "record"), "line_no").values()
+        return dict(t.frame.dtypes)["n"], sorted(str(r["n"]) for r in t.frame.collect())
+
+    assert column(*big[:2]) == ("bigint", sorted(big[:2])) and column(*big[:4]) == ("decimal(38,0)", sorted(big[:4]))
+    assert column(big[0], big[4])[0] == "double" and column(big[5])[0] == "double"
+
+
+def test_keys_that_are_data_stay_in_a_map(spark):
+    step = lambda i: {"name": f"n{i}", f"k{i}": f"v{i}"}
+    records = [json.dumps({"construction_steps": [step(i)], "checks": [{"type": "t", "point": "P", f"k{i}": f"v{i}", f"list{i}": ["x"]}]}) for i in range(30)]
+    few = {tuple(r) for r in N.candidate_rows(rows(spark, *records), most=6).collect()}
+    assert few == found(spark, *records) and len(few) == 30 * 5
+    tables = N.candidate_tables(rows(spark, *records), most=6)
+    assert "*" in tables and len(tables["checks"].columns) < 6 and tables["*"].frame.count() >= 30
+
+
+def test_nodes_are_numbered_as_they_stand():
+    nodes = list(N.nodes_of({"a": [{"b": [1, 2]}, 3], "c": {"d": [4]}}))
+    assert [(n[0], n[1], n[4], n[5]) for n in nodes] == [(0, -1, "", None), (1, 0, "a[0]", ""), (2, 1, "a[0].b[0]", "a[0]"), (3, 1, "a[0].b[1]", "a[0]"), (4, 0, "a[1]", ""), (5, 0, "c.d[0]", "")]
 
 
 def test_depth_length_and_emptiness(spark):
