@@ -78,7 +78,7 @@ def test_keys_that_are_data_stay_in_a_map(spark):
 
 
 def test_nodes_are_numbered_as_they_stand():
-    nodes = list(N.nodes_of({"a": [{"b": [1, 2]}, 3], "c": {"d": [4]}}))
+    nodes = list(N.nodes_of(N.strict('{"a": [{"b": [1, 2]}, 3], "c": {"d": [4]}}')))
     assert [(n[0], n[1], n[4], n[5]) for n in nodes] == [(0, -1, "", None), (1, 0, "a[0]", ""), (2, 1, "a[0].b[0]", "a[0]"), (3, 1, "a[0].b[1]", "a[0]"), (4, 0, "a[1]", ""), (5, 0, "c.d[0]", "")]
 
 
