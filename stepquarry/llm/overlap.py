@@ -12,10 +12,10 @@ of the other side:
   gathered over all vectors, in ``2**BITS`` counters (the greatest of the terms
   that share one), so they may be broadcast.
 
-An entry of a list holds the term, the vector, the residual norm and the bound by
-maximum weights from there on. Two vectors that meet in a list are taken on only
-if the product of their residual norms and the bounds of both reach t; then they
-get their exact dot product.
+A term whose residual norm or bound by maximum weights is below t has no entry. An
+entry of a list holds the term, the vector and its residual norm from there on. Two
+vectors that meet in a list are taken on only if the product of their residual
+norms reaches t; then they get their exact dot product.
 
 With unit weights a Jaccard similarity of j implies a cosine of at least
 2j / (1 + j), so the join at that threshold loses no pair and an exact test of
@@ -45,7 +45,7 @@ BITS = 20
 SLACK = 1e-9
 #: Most terms whose exact counts are broadcast; more are joined by shuffle.
 TERMS = 1_000_000
-LISTS = "sig long, gid long, rest double, bound double"
+LISTS = "sig long, gid long, rest double"
 
 
 def user_messages(train: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def lists(vectors: DataFrame, theirs: np.ndarray, t: float) -> DataFrame:
             bound = suffixes(weights * shared.value[terms & ((1 << BITS) - 1)], sizes)
             keep = (rest >= t - SLACK) & (bound >= t - SLACK)
             gids = np.repeat(batch.column(0).to_numpy(), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (terms, gids, rest, bound)], names=["sig", "gid", "rest", "bound"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (terms, gids, rest)], names=["sig", "gid", "rest"])
 
     return vectors.where(F.size("terms") > 0).mapInArrow(run, LISTS)
 
