@@ -209,16 +209,21 @@ class PrefixIndex:
                 self.store.fs.delete(self.store._path(f"{name}/seg={seg}"), True)
 
     def _read(self, name: str, segments: list[dict], bitmap: bytes | None = None) -> DataFrame:
-        """Rows of the segments; with a bitmap of low bits only the parts that it hits."""
-        schema = POSTINGS if name == "postings" else SETS
-        out = None
-        for s in segments:
-            rows = self.spark.read.schema(f"{schema}, part int").parquet(f"{self.path}/{name}/seg={s['seg']}") if s["rows" if name == "postings" else "sets"] else self.spark.createDataFrame([], f"{schema}, part int")
-            parts = s["parts"] if name == "postings" else s["set_parts"]
-            if bitmap is not None and len(wanted := hit(bitmap, parts)) < parts:
-                rows = rows.where(F.col("part").isin(wanted))
-            out = rows if out is None else out.unionByName(rows)
-        return (self.spark.createDataFrame([], f"{schema}, part int") if out is None else out).drop("part")
+        """Rows of the segments, as one scan; with a bitmap of low bits only of the parts that it hits."""
+        schema, n, k = (POSTINGS, "rows", "parts") if name == "postings" else (SETS, "sets", "set_parts")
+        there = [s for s in segments if s[n]]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.path}/{name}"
+        rows = self.spark.read.schema(f"{schema}, seg int, part int").option("basePath", base).parquet(*[f"{base}/seg={s['seg']}" for s in there])
+        if bitmap is not None:
+            wanted = {s["seg"]: hit(bitmap, s[k]) for s in there}
+            full = [s["seg"] for s in there if len(wanted[s["seg"]]) == s[k]]
+            if len(full) < len(there):
+                each = [f"seg IN ({', '.join(map(str, full))})"] if full else []
+                each += [f"seg = {g} AND part IN ({', '.join(map(str, parts)) or '-1'})" for g, parts in wanted.items() if g not in full]
+                rows = rows.where(" OR ".join(f"({e})" for e in each))
+        return rows.drop("seg", "part")
 
     def sets(self, since: int = 0) -> DataFrame:
         """The accepted records (gid, toks, cmds), or those of the appends from number ``since`` on."""
