@@ -280,7 +280,17 @@ def test_copies_of_a_garbled_text_are_found(spark, chain):
 def test_copies_of_a_clean_text_still_teach_a_chain(spark):
     rows = [TEXTS["fr"].format("A", "B")] * 8 + [M.garble(TEXTS["fr"].format("A", "B"), CHAINS[0])]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    assert CHAINS[0] in M.learned(M.twins(docs))
+    assert CHAINS[0] in M.learned(M.twins(docs))[0]
+
+
+def test_lost_bytes_are_restored_by_words_learned_from_twins(spark):
+    clean = ["Le côté A est très long.", "Das Dreieck ist gleichschenklig, natürlich."]
+    rows = clean * 8 + [clean[0].replace("ô", "\ufffd"), "Un côté, un autre c\ufffdté; mais t\ufffdt ou tard.", clean[1].replace("ü", "\ufffd\ufffd")]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in M.mended(docs, "doc_id", "text").where("garbled").collect()}
+    assert set(got) == {16, 17, 18}
+    assert got[16]["restored"] == clean[0] and got[18]["restored"] == clean[1]
+    assert got[17]["restored"] == "Un côté, un autre côté; mais t\ufffdt ou tard." and (got[17]["stretches_restored"], got[17]["stretches_lost"]) == (1, 1)
 
 
 def test_queries_run(spark, small):
