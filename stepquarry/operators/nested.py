@@ -177,7 +177,12 @@ def _part(table: Column) -> Column:
 
 def merged_schema(nodes: DataFrame) -> DataFrame:
     """(table, field, kinds, rows): all kinds that a field has anywhere, sorted, and how many rows have it."""
-    each = nodes.select("table", F.explode("kinds").alias("field", "kind"))
+    return _schema(nodes).where("field is not null")
+
+
+def _schema(nodes: DataFrame) -> DataFrame:
+    """As merged_schema; a level with rows that have no fields has a null field as well."""
+    each = nodes.select("table", F.explode_outer("kinds").alias("field", "kind"))
     counts = each.groupBy("table", "field", "kind").agg(F.count("*").alias("n"))
     return counts.groupBy("table", "field").agg(F.array_sort(F.collect_set("kind")).alias("kinds"), F.sum("n").alias("rows"))
 
@@ -215,13 +220,12 @@ def child_tables(nodes: DataFrame, key: str, most: int = MOST_FIELDS) -> dict[st
     over, and levels without any collected field are in the table ``*`` as they are.
     """
     fields: dict[str, list[tuple[str, list[str]]]] = {}
-    rows = merged_schema(nodes).orderBy(F.desc("rows"), "table", "field").limit(most + 1).collect()
+    rows = _schema(nodes).orderBy(F.desc("rows"), "table", "field").limit(most + 1).collect()
     whole = len(rows) <= most
-    for r in sorted(rows[:most], key=lambda r: (r["table"], r["field"])):
-        fields.setdefault(r["table"], []).append((r["field"], r["kinds"]))
-    levels = nodes.groupBy("table").count().orderBy(F.desc("count"), "table").limit(most).collect()
-    for r in levels if whole else ():  # levels of objects without members
-        fields.setdefault(r["table"], [])
+    for r in sorted(rows[:most], key=lambda r: (r["table"], r["field"] or "")):
+        own = fields.setdefault(r["table"], [])
+        if r["field"] is not None:
+            own.append((r["field"], r["kinds"]))
     out = {}
     for t, found in fields.items():
         columns = [F.col(key).alias("_key"), *[F.col(c[1:]).alias(c) for c in KEYS[1:]]]
