@@ -121,6 +121,21 @@ def path_of_point(command: Column) -> Column:
     return F.when(c.rlike(r"^Point\(.*\)$") & (path != "") & ~path.startswith("(") & ~depth["cut"], path)
 
 
+def split_arguments(inner: Column) -> Column:
+    """The parts of an argument list between the commas outside all brackets, without white space around them."""
+    cut = F.aggregate(
+        F.split(inner, ""),
+        F.struct(F.lit(0).alias("depth"), F.array(F.lit("")).alias("parts")),
+        lambda acc, ch: F.struct(
+            (acc["depth"] + F.when(ch.isin("(", "[", "{"), 1).when(ch.isin(")", "]", "}"), -1).otherwise(0)).alias("depth"),
+            F.when((ch == ",") & (acc["depth"] == 0), F.concat(acc["parts"], F.array(F.lit(""))))
+            .otherwise(F.concat(F.slice(acc["parts"], 1, F.size(acc["parts"]) - 1), F.array(F.concat(F.element_at(acc["parts"], -1), ch))))
+            .alias("parts"),
+        ),
+    )
+    return F.transform(cut["parts"], lambda p: F.trim(p))
+
+
 def caption(step: Column) -> Column:
     """What a figure writes beside an object: nothing for lines, else its label where that differs from its name, else its name."""
     label = F.trim(F.coalesce(step["label"], F.lit("")))

@@ -311,24 +311,41 @@ def built(steps: list[dict], t_of: Callable[[int], float]) -> list[tuple[int, st
     return out
 
 
-_INDEXED = re.compile(r"(\s*Intersect\(.+,)\s*(\d+)\s*\)\s*", re.S)
 #: Points nearer than this have collapsed; so many times a figure is built anew to mend indices.
 COLLAPSED, PASSES = 1e-6, 3
 
 
+def other_index(command: str) -> str | None:
+    """An Intersect command with its index, the last of three arguments or more, 1 made 2 and any other 1; null if it has none."""
+    m = STEP.fullmatch(command)
+    parts = arguments(m[2]) if m and m[1] == "Intersect" else []
+    if len(parts) < 3 or not (parts[-1].isascii() and parts[-1].isdigit()):
+        return None
+    return f"Intersect({', '.join([*parts[:-1], '2' if int(parts[-1]) == 1 else '1'])})"
+
+
+def collapsed(figure: list[tuple]) -> list[int]:
+    """Positions of the built points that lie on a point built before."""
+    out, grid = [], {}
+    for pos, _name, _status, x, y in figure:
+        if x is None or not (math.isfinite(x) and math.isfinite(y)):
+            continue
+        cell = (math.floor(x / COLLAPSED), math.floor(y / COLLAPSED))
+        near = (p for i in (-1, 0, 1) for j in (-1, 0, 1) for p in grid.get((cell[0] + i, cell[1] + j), ()))
+        if any(math.dist((x, y), p) < COLLAPSED for p in near):
+            out.append(pos)
+        grid.setdefault(cell, []).append((x, y))
+    return out
+
+
 def with_fixed_indices(steps: list[dict], t_of: Callable[[int], float]) -> list[dict]:
-    """The steps with intersection indices flipped (1 to 2, others to 1) where their point fell on an earlier point."""
+    """The steps with intersection indices changed where their point fell on an earlier point."""
     steps = [None if s is None else dict(s) for s in steps]
     for _ in range(PASSES):
-        seen, changed = [], False
-        for pos, _name, _status, x, y in built(steps, t_of):
-            if x is None:
-                continue
-            if any(math.dist((x, y), p) < COLLAPSED for p in seen) and (m := _INDEXED.fullmatch(steps[pos]["command"] or "")):
-                steps[pos]["command"] = f"{m[1]} {2 if int(m[2]) == 1 else 1})"
-                changed = True
-            seen.append((x, y))
-        if not changed:
+        fixes = {pos: new for pos in collapsed(built(steps, t_of)) if (new := other_index(steps[pos]["command"] or ""))}
+        for pos, new in fixes.items():
+            steps[pos]["command"] = new
+        if not fixes:
             break
     return steps
 

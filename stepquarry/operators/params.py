@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepquarry.functions.words import path_of_point
+from stepquarry.functions.words import path_of_point, split_arguments
 
 # Fixed value: how far the random strata keep from both ends of a path.
 INSET = 0.04
@@ -64,10 +64,15 @@ def with_parameters(steps: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def flipped(command: Column) -> Column:
-    """An Intersect command with its index 1 made 2 and any other made 1; null if it has none."""
-    shape = r"^(\s*Intersect\(.+,)\s*(\d+)\s*\)\s*$"
-    index = F.regexp_extract(command, shape, 2)
-    return F.when(index != "", F.concat(F.regexp_extract(command, shape, 1), F.lit(" "), F.when(index.rlike("^0*1$"), "2").otherwise("1"), F.lit(")")))
+    """An Intersect command with its index 1 made 2 and any other made 1; null if it has none.
+
+    The index is the last of three arguments or more outside all brackets, a whole number.
+    """
+    parts = split_arguments(F.regexp_extract(F.trim(command), r"^Intersect\((.*)\)$", 1))
+    last = F.try_element_at(parts, F.lit(-1))
+    other = F.when(F.try_to_number(last, F.lit("9" * 18)) == 1, F.lit("2")).otherwise(F.lit("1"))
+    mended = F.concat(F.lit("Intersect("), F.array_join(F.concat(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(other)), ", "), F.lit(")"))
+    return F.when((F.size(parts) > 2) & last.rlike("^[0-9]{1,18}$"), mended)
 
 
 def collapsed(trials: DataFrame) -> DataFrame:

@@ -24,15 +24,21 @@ _roots: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """Folder of this run below ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only where it is unset, as in
-    tests on one machine, a temporary folder takes its place.
+    The setting is read from the session. Only where it is unset and the whole
+    application is one process, as in tests, a temporary folder takes its place;
+    on a cluster an unset folder is an error, as each machine would have its own.
     """
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             found = spark.sparkContext._jsc.sc().getCheckpointDir()
-            base = found.get() if found.isDefined() else "file://" + tempfile.mkdtemp(prefix="stepquarry-")
+            if found.isDefined():
+                base = found.get()
+            elif spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
+                base = "file://" + tempfile.mkdtemp(prefix="stepquarry-")
+            else:
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _roots[app] = f"{base.rstrip('/')}/stepquarry-{_run}"
         atexit.register(_remove, spark, _roots[app])
     return _roots[app]
