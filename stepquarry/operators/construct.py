@@ -350,19 +350,28 @@ def with_fixed_indices(steps: list[dict], t_of: Callable[[int], float]) -> list[
     return steps
 
 
-def fixed_indices(problems: DataFrame, key: str, steps: str = "construction_steps") -> DataFrame:
-    """(problem_id, pos, old, new) of the commands that with_fixed_indices changes, at the middle of every path."""
+def _figures(steps: DataFrame, *more: str) -> DataFrame:
+    """A row a figure: (problem_id, more, steps), the steps of one problem in order; a figure is as large as its problem."""
+    return steps.groupBy("problem_id", *more).agg(F.array_sort(F.collect_list(F.struct("pos", "name", "command"))).alias("steps"))
+
+
+def _middle(_: int) -> float:
+    """Where a point goes that has no parameter because its path is an infinite line."""
+    return 0.5
+
+
+def fixed_indices(steps: DataFrame) -> DataFrame:
+    """(problem_id, pos, old, new) of the commands that with_fixed_indices changes, of steps (problem_id, pos, name, command) with their parameters."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for k, items in zip(b["problem_id"], b["steps"]):
-                new = with_fixed_indices(list(items), lambda i: i / (i + 1))
-                rows += [(k, i, a["command"], c["command"]) for i, (a, c) in enumerate(zip(items, new)) if a is not None and a["command"] != c["command"]]
+                new = with_fixed_indices(list(items), _middle)
+                rows += [(k, a["pos"], a["command"], c["command"]) for a, c in zip(items, new) if a["command"] != c["command"]]
             yield pd.DataFrame(rows, columns=["problem_id", "pos", "old", "new"])
 
-    each = problems.where(F.size(steps) > 0).select(F.col(key).cast("long").alias("problem_id"), F.col(steps).alias("steps"))
-    return each.mapInPandas(run, "problem_id long, pos int, old string, new string")
+    return _figures(steps).mapInPandas(run, "problem_id long, pos int, old string, new string")
 
 
 def report(evaluated: DataFrame) -> DataFrame:
@@ -371,25 +380,21 @@ def report(evaluated: DataFrame) -> DataFrame:
     return evaluated.groupBy("problem_id", "trial").agg(F.count("*").alias("total"), count("failed"), count("unsupported"))
 
 
-def evaluate(problems: DataFrame, key: str, trials: int, seed: int = 42, steps: str = "construction_steps") -> DataFrame:
-    """(problem_id, trial, pos, name, status, x, y) of every step of every problem in each of ``trials`` trials.
+def evaluate(steps: DataFrame) -> DataFrame:
+    """(problem_id, trial, pos, name, status, x, y) of steps (problem_id, trial, pos, name, command), built in order.
 
-    A point left free on its path gets a parameter in 0.04..0.96 by a hash of seed,
-    problem, trial and its number, so a lost task computes the same again.
+    Points on paths should have their parameters (params.py); a point left free on
+    an infinite line is put at its middle.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
-
         for b in batches:
             rows = []
             for k, trial, items in zip(b["problem_id"], b["trial"], b["steps"]):
-                t_of = lambda i: 0.04 + 0.92 * xxhash.xxh64_intdigest(f"{seed}-{k}-{trial}-{i}") / 2**64  # noqa: B023, E731
-                rows += [(k, trial, *r) for r in built(list(items), t_of)]
+                rows += [(k, trial, items[i]["pos"], *r) for i, *r in built(list(items), _middle)]
             yield pd.DataFrame(rows, columns=["problem_id", "trial", "pos", "name", "status", "x", "y"])
 
-    each = problems.where(F.size(steps) > 0).select(F.col(key).cast("long").alias("problem_id"), F.explode(F.sequence(F.lit(0), F.lit(trials - 1))).alias("trial"), F.col(steps).alias("steps"))
-    return each.mapInPandas(run, "problem_id long, trial int, pos int, name string, status string, x double, y double")
+    return _figures(steps, "trial").mapInPandas(run, "problem_id long, trial int, pos int, name string, status string, x double, y double")
 
 
 def as_probes(evaluated: DataFrame) -> DataFrame:

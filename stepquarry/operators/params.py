@@ -56,13 +56,25 @@ def strewn(paths: DataFrame, trials: int, seed: int = 42) -> DataFrame:
     return rows.select("problem_id", "trial", "pos", "name", "path", F.round(t, 4).alias("t"))
 
 
-def with_parameters(steps: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``steps`` with the command Point(path, t) where ``chosen`` (problem_id, pos, path, t) has a parameter."""
-    joined = steps.join(chosen.select("problem_id", "pos", "path", "t"), ["problem_id", "pos"], "left")
+def with_parameters(steps: DataFrame, chosen: DataFrame, *more: str) -> DataFrame:
+    """``steps`` with the command Point(path, t) where ``chosen`` (problem_id, pos, path, t) has a parameter; both may have further key columns ``more``."""
+    keys = ["problem_id", *more, "pos"]
+    joined = steps.join(chosen.select(*keys, "path", "t"), keys, "left")
     command = F.when(F.col("t").isNotNull(), F.concat(F.lit("Point("), "path", F.lit(", "), F.format_string("%.4f", "t"), F.lit(")"))).otherwise(F.col("command"))
     return joined.withColumn("command", command).drop("path", "t")
 
 
+def evenly(steps: DataFrame) -> DataFrame:
+    """``steps`` with the parameters of ``even``, as trial 0."""
+    return with_parameters(steps, on_paths(steps).withColumn("t", even(F.col("ordinal"), F.col("points")))).withColumn("trial", F.lit(0))
+
+
+def at_random(steps: DataFrame, trials: int, seed: int = 42) -> DataFrame:
+    """``steps`` once for each of ``trials`` trials, with the parameters of ``strewn``."""
+    each = steps.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    return with_parameters(each, strewn(on_paths(steps), trials, seed), "trial")
+
+
 def flipped(command: Column) -> Column:
     """An Intersect command with its index 1 made 2 and any other made 1; null if it has none.
 

@@ -580,26 +580,86 @@ def captions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("problem_id", "pos", W.caption(F.struct("name", "class", "label")).alias("caption"), (F.coalesce("type", F.lit("")) != "construction").alias("visible"))
 
 
+#: Trials of a figure at random, as many as the gates ask for.
+TRIALS_AT_RANDOM = 5
+
+
+@query(f"""WITH {BUILT}, bg AS (SELECT problem_id, max(n_steps) AS total, arg_min(failed, trial) FILTER (len(failed) > 0) AS failed FROM bu GROUP BY problem_id),
+{_PATHS[_PATHS.index("sx AS"):]},
+rw AS (SELECT problem_id, count(*) AS rewrites, string_agg(name || ' = Point(' || path || ', ' || printf('%.4f', round(CAST(ordinal AS DECIMAL(18,6)) / (points + 1) + 1e-9, 4)) || ')', chr(10) ORDER BY pos) AS list FROM pn GROUP BY problem_id)
+SELECT bg.problem_id, CAST(total AS INTEGER) AS total, CAST(coalesce(len(failed), 0) AS INTEGER) AS failed, coalesce(rewrites, 0) AS rewrites, list FROM bg LEFT JOIN rw USING (problem_id)""")
+def render_status(spark: SparkSession, d: str) -> DataFrame:
+    """Of each problem its steps, how many of them failed in the first trial that failed, and the parameters written into it."""
+    steps = _steps(spark, d)
+    paths = P.on_paths(steps).withColumn("t", P.even(F.col("ordinal"), F.col("points")))
+    said = F.format_string("%s = Point(%s, %.4f)", "name", "path", "t")
+    rewrites = paths.groupBy("problem_id").agg(F.count("*").alias("rewrites"), F.array_sort(F.collect_list(F.struct("pos", said.alias("said")))).alias("r"))
+    rows = G.gate_all(_built(spark, d)).join(G.point_steps(all_problems(spark, d), "problem_id"), "problem_id").join(rewrites, "problem_id", "left")
+    listed = F.array_join(F.transform("r", lambda r: r["said"]), "\n")
+    failed = F.coalesce(F.size("sample_failure"), F.lit(0))
+    return rows.select("problem_id", F.col("n_steps").alias("total"), failed.alias("failed"), F.coalesce("rewrites", F.lit(0)).cast("long").alias("rewrites"), listed.alias("list"))
+
+
+def _random(spark: SparkSession, d: str) -> DataFrame:
+    return E.evaluate(P.at_random(_steps(spark, d), TRIALS_AT_RANDOM))
+
+
 @query()
 def evaluated_steps(spark: SparkSession, d: str) -> DataFrame:
-    """Every step of every problem built by the evaluator in two trials; its conventions are its own, so there is no SQL."""
-    return E.evaluate(all_problems(spark, d), "problem_id", 2)
+    """Every step of every problem built by the evaluator in five trials at random; its conventions are its own, so there is no SQL."""
+    return _random(spark, d)
 
 
 @query()
 def evaluator_checks(spark: SparkSession, d: str) -> DataFrame:
     """The problems' checks on figures that the evaluator built, by kind and outcome."""
-    problems = all_problems(spark, d)
-    trials = G.trials_of(E.as_probes(E.evaluate(problems, "problem_id", 2)))
-    return G.checked(trials, G.checks_of(problems, "problem_id")).groupBy("kind", "holds").agg(F.count("*").alias("n"))
+    trials = G.trials_of(E.as_probes(_random(spark, d)))
+    return G.checked(trials, G.checks_of(all_problems(spark, d), "problem_id")).groupBy("kind", "holds").agg(F.count("*").alias("n"))
 
 
 @query()
 def evaluator_report(spark: SparkSession, d: str) -> DataFrame:
-    return E.report(E.evaluate(all_problems(spark, d), "problem_id", 2))
+    """Steps, and those that failed or are unsupported, of every figure with even parameters."""
+    return E.report(E.evaluate(P.evenly(_steps(spark, d))))
+
+
+@query()
+def evaluator_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Of every trial at random the number of steps that gave no object."""
+    return E.report(_random(spark, d)).select("problem_id", "trial", (F.col("failed") + F.col("unsupported")).alias("failed"))
+
+
+def _points(built: DataFrame, steps: DataFrame) -> DataFrame:
+    points = steps.where("class = 'point'").select("problem_id", "pos")
+    return built.where("status = 'ok' AND x is not null").join(points, ["problem_id", "pos"]).select("problem_id", "trial", "pos", "name", "x", "y")
+
+
+@query()
+def evaluator_points(spark: SparkSession, d: str) -> DataFrame:
+    """The points of figures with even parameters, to two places."""
+    steps = _steps(spark, d)
+    rows = _points(E.evaluate(P.evenly(steps)), steps)
+    return rows.withColumns({c: W.rounded(F.col(c)) for c in ("x", "y")})
+
+
+@query()
+def evaluator_probes(spark: SparkSession, d: str) -> DataFrame:
+    """The points of figures at random, in full precision."""
+    steps = _steps(spark, d)
+    return _points(_random(spark, d), steps)
+
+
+@query()
+def drag_probe(spark: SparkSession, d: str) -> DataFrame:
+    """Of each point on a path whether another parameter moves it, by more than 0.000001."""
+    steps = _steps(spark, d)
+    on = P.on_paths(steps).select("problem_id", "pos", "path")
+    at = lambda rows, n: _points(rows, steps).where("trial = 0").select("problem_id", "pos", F.col("x").alias(f"x{n}"), F.col("y").alias(f"y{n}"))
+    both = at(E.evaluate(P.evenly(steps)), 1).join(at(E.evaluate(P.at_random(steps, 1)), 2), ["problem_id", "pos"]).join(on, ["problem_id", "pos"])
+    return both.select("problem_id", "pos", "path", (F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) > 1e-6).alias("moved"))
 
 
 @query()
 def index_repair(spark: SparkSession, d: str) -> DataFrame:
-    """Intersection indices flipped by building each figure up to three times."""
-    return E.fixed_indices(all_problems(spark, d), "problem_id")
+    """Intersection indices flipped by building each figure, with even parameters, up to three times."""
+    return E.fixed_indices(P.evenly(_steps(spark, d)))

@@ -181,13 +181,24 @@ def test_evaluator():
 def test_evaluated_figures_pass_their_checks(spark):
     from stepquarry.operators import construct as E
 
-    steps = [("A", "(0, 0)"), ("B", "(6, 1)"), ("k", "Circle(A, B)"), ("P", "Point(k)"), ("M", "Midpoint(P, B)"), ("Q", "Intersect(Line(P, B), k, 1)")]
+    steps = [("A", "(0, 0)"), ("B", "(6, 1)"), ("k", "Circle(A, B)"), ("P", "Point(k)"), ("M", "Midpoint(P, B)"), ("Q", "Intersect(Line(P, B), k, 1)")]  # Q falls on P
     rows = [(1, [(n, "final", "point" if n.isupper() else "circle", None, c) for n, c in steps], [json.dumps({"type": "equal_len", "a": ["A", "P"], "b": ["A", "B"]}), json.dumps({"type": "perpendicular", "a": ["A", "M"], "b": ["P", "B"]})])]
     problems = spark.createDataFrame(rows, "problem_id long, construction_steps array<struct<name:string,type:string,class:string,label:string,command:string>>, checks array<string>")
-    results = G.checked(G.trials_of(E.as_probes(E.evaluate(problems, "problem_id", 4))), G.checks_of(problems, "problem_id")).collect()
+    table = P.exploded(problems, "problem_id")
+    at_random = P.at_random(table, 4)
+    results = G.checked(G.trials_of(E.as_probes(E.evaluate(at_random))), G.checks_of(problems, "problem_id")).collect()
     assert len(results) == 8 and all(r["holds"] for r in results)
-    again = E.evaluate(problems, "problem_id", 4)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, E.evaluate(problems.repartition(3), "problem_id", 4).collect()))
-    (fix,) = E.fixed_indices(problems, "problem_id").collect()
-    assert (fix["pos"], fix["new"]) == (5, "Intersect(Line(P, B), k, 2)") or fix["old"].endswith("1)")
+    again = E.evaluate(at_random)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, E.evaluate(P.at_random(table.repartition(3), 4)).collect()))
+    assert len({(r["x"], r["y"]) for r in again.where("name = 'P'").collect()}) == 4
+    (fix,) = E.fixed_indices(P.evenly(table)).collect()
+    assert (fix["pos"], fix["old"], fix["new"]) == (5, "Intersect(Line(P, B), k, 1)", "Intersect(Line(P, B), k, 2)")
     assert E.report(again).where("total = 6 AND failed = 0").count() == 4
+
+
+def test_indices_are_read_from_the_arguments():
+    from stepquarry.operators import construct as E
+
+    assert E.other_index(" Intersect(Circle(A, 1), l, 2) ") == "Intersect(Circle(A, 1), l, 1)" and E.other_index("Intersect(a, b, 1)") == "Intersect(a, b, 2)"
+    assert E.other_index("Intersect(a, 1)") is None and E.other_index("Intersect(a, b, i)") is None and E.other_index("Point(a, b, 1)") is None and E.other_index("") is None
+    assert E.collapsed([(0, "A", "ok", 0.0, 0.0), (1, "B", "ok", 9e-7, 0.0), (2, "C", "ok", 1.1e-6, -1.1e-6), (3, "D", "ok", None, None), (4, "E", "ok", float("nan"), 0.0)]) == [1]
