@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stepquarry.functions import words as W
 from stepquarry.operators import checks as C
 from stepquarry.operators import construct as E
+from stepquarry.operators import corpus as K
 from stepquarry.operators import gates as G
 from stepquarry.operators import metrics as M
 from stepquarry.operators import params as P
@@ -580,6 +581,13 @@ def captions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("problem_id", "pos", W.caption(F.struct("name", "class", "label")).alias("caption"), (F.coalesce("type", F.lit("")) != "construction").alias("visible"))
 
 
+@query(_RESULTS + _BUILD + """SELECT problem_id, 'These steps failed: ' || array_to_string(sample_failure[1:6], '; ') AS request FROM bg WHERE NOT ok""")
+def repair_requests(spark: SparkSession, d: str) -> DataFrame:
+    """What is said about a figure that did not build: its first failed steps."""
+    bad = G.gate_all(_built(spark, d)).where("not ok")
+    return bad.select("problem_id", K.repair_request(F.col("sample_failure")).alias("request"))
+
+
 #: Trials of a figure at random, as many as the gates ask for.
 TRIALS_AT_RANDOM = 5
 
