@@ -77,5 +77,29 @@ FROM y LEFT JOIN n ON n.eval_id = y.k GROUP BY split, source
     "p2_balance": """
 SELECT p.split, t.source, round(p.fraction / (SELECT sum(fraction) FROM split_plan) * t.n, 4) AS planned, true AS "within"
 FROM split_plan p, (SELECT source, count(*) AS n FROM train GROUP BY source) t
+""",
+    "p3_groups": f"""
+WITH RECURSIVE s AS (SELECT problem_key AS k, list_sort({_TOKENS.format("problem_statement")}) AS t, list_sort({_COMMANDS.format("construction_steps")}) AS c FROM problems),
+g AS (SELECT t, c, min(k) AS g FROM s WHERE len(t) > 0 GROUP BY t, c),
+m AS (SELECT s.k, coalesce(g.g, s.k) AS class_id FROM s LEFT JOIN g ON s.t = g.t AND s.c = g.c),
+p AS (SELECT a.g AS a, b.g AS b, {_common("a.t", "b.t")} AS st, len(a.t) AS na, len(b.t) AS nb, {_common("a.c", "b.c")} AS sc, len(a.c) AS ca, len(b.c) AS cb FROM g a JOIN g b ON a.g <> b.g),
+l AS (SELECT a, b FROM p WHERE {_ALIKE}),
+w AS (SELECT a, b AS r FROM l UNION SELECT w.a, l.b FROM w JOIN l ON w.r = l.a),
+r AS (SELECT a, least(a, min(r)) AS r FROM w GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.k AS problem_key, class_id, coalesce(r.r, class_id) AS group_id, coalesce(n.n, 0) AS links FROM m LEFT JOIN r ON r.a = class_id LEFT JOIN n ON n.a = class_id
+""",
+    "p5_found": f"""
+WITH RECURSIVE s AS (SELECT new_id AS k, row_number() OVER (ORDER BY batch_id NULLS LAST, new_id) AS i, {_TOKENS.format("problem_statement")} AS t, {_COMMANDS.format("construction_steps")} AS c FROM new_geometry_problems),
+h AS (SELECT {_TOKENS.format("problem_statement")} AS t, {_COMMANDS.format("construction_steps")} AS c FROM problems
+      UNION ALL SELECT {_TOKENS.format("problem_statement")}, {_COMMANDS.format("construction_steps")} FROM fewshot_problems),
+o AS (SELECT a.i, CAST(NULL AS BIGINT) AS j, {_common("a.t", "b.t")} AS st, len(a.t) AS na, len(b.t) AS nb, {_common("a.c", "b.c")} AS sc, len(a.c) AS ca, len(b.c) AS cb FROM s a, h b
+      UNION ALL SELECT a.i, b.i, {_common("a.t", "b.t")}, len(a.t), len(b.t), {_common("a.c", "b.c")}, len(a.c), len(b.c) FROM s a JOIN s b ON b.i < a.i),
+e AS MATERIALIZED (SELECT i, bool_or(j IS NULL) AS old, list(j) FILTER (j IS NOT NULL) AS earlier FROM o WHERE {_ALIKE} GROUP BY i),
+q AS MATERIALIZED (SELECT s.i, coalesce(e.old, false) AS old, coalesce(e.earlier, CAST([] AS BIGINT[])) AS earlier FROM s LEFT JOIN e USING (i)),
+f AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS kept
+      UNION ALL SELECT q.i, CASE WHEN q.old OR list_has_any(f.kept, q.earlier) THEN f.kept ELSE list_append(f.kept, q.i) END FROM f JOIN q ON q.i = f.i + 1),
+z AS (SELECT kept FROM f ORDER BY i DESC LIMIT 1)
+SELECT k AS new_id FROM s, z WHERE NOT list_contains(z.kept, s.i)
 """,
 }
