@@ -15,7 +15,7 @@ SURE, LIKELY, SAME_STEPS = 0.5, 0.4, 0.85
 
 
 #: Similarities down to which matches are looked for by prefixes, one after another; rows without a match so far go on.
-LEVELS = (0.4, 0.2, 0.1)
+LEVELS = (0.4, 0.25)
 
 
 def features(df: DataFrame, key: Column, statement: Column, steps: Column, source: str = "") -> DataFrame:
