@@ -127,6 +127,42 @@ def test_greatest_weights_prune_lists(spark):
     assert O.lists(vectors, most * 0.7, 0.8).count() == 0
 
 
+@pytest.mark.parametrize("weighting", ["unit", "idf"])
+@pytest.mark.parametrize("wide", [128, 12])
+def test_lists_that_are_cut_up_lose_no_pair(spark, monkeypatch, weighting, wide):
+    left, right = records(80, 5), records(150, 6) + records(80, 5)[:20]
+    rows = lambda recs: spark.createDataFrame([(i, " ".join(w)) for i, (w, _) in enumerate(recs)], "key long, text string")
+    a, _ = O.classes_of(rows(left))
+    b, _ = O.classes_of(rows(right))
+    whole = {(r["a"], r["b"]) for r in O.cosine_join(a, b, 0.8, weighting=weighting).collect()}
+    monkeypatch.setattr(O, "HOT", 4)
+    monkeypatch.setattr(O, "WIDE", wide)
+    assert {(r["a"], r["b"]) for r in O.cosine_join(a, b, 0.8, weighting=weighting).collect()} == whole and len(whole) > 10
+
+
+def test_usual_words_do_not_make_all_vectors_meet(spark):
+    """Texts of 5 rare words and many of 400 usual ones; a few are edited copies."""
+    r = random.Random(3)
+    rare, usual = [f"n{i}" for i in range(600)], [f"u{i}" for i in range(400)]
+    text = lambda: r.sample(rare, 5) + r.sample(usual, r.randrange(40, 60))
+    texts = [text() for _ in range(600)]
+    left = [texts[i][3:] + r.sample(rare, 2) if i % 20 == 0 else text() for i in range(300)]
+    rows = lambda recs: spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(recs)], "key long, text string")
+    a, b = (O.classes_of(rows(t))[0] for t in (left, texts))
+    want = {(i, j) for i, x in enumerate(left) for j, y in enumerate(texts) if len(set(x) & set(y)) >= 0.85 * (len(x) * len(y)) ** 0.5}
+    assert {(x["a"], x["b"]) for x in O.cosine_join(a, b, 0.85).collect()} == want and len(want) == 15
+    order = S.token_order(a.unionByName(b), "toks")
+    x, y = (O.unit_vectors(s, order) for s in (a, b))
+    most, t = (O.greatest(x), O.greatest(y)), 0.85
+    plain = O.lists(x, most[1], t).alias("p").join(O.lists(y, most[0], t).alias("q"), "sig").count()
+    by = O.Usual(order, 900, 30)
+    lead = O.leading(x, most[1], t, by, 300), O.leading(y, most[0], t, by, 600)
+    p, q = O.lists(x, most[1], t, by, lead[1]), O.lists(y, most[0], t, by, lead[0])
+    cut = p.alias("p").join(q.alias("q"), "sig").where(f"p.rest >= {t**0.5} OR q.rest >= {t**0.5}").count()
+    assert plain > 50_000 and cut < plain / 3
+    assert O.candidates(x, y, t, by, ((300, 0), (600, 0)), True).count() < 5 * len(want)
+
+
 def refused_of(index, spark, recs, start):
     return {r["key"] for r in I.refused(sets(spark, recs, start), index.sets(since=1)).collect()}
 
