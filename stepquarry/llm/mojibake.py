@@ -53,7 +53,7 @@ RARER = 4
 #: Different aligned pairs that a chain must explain.
 SUPPORT = 3
 SELECTED_ROWS = 1_000_000
-#: Most learned words, those with most twins first, that are sent to all tasks; other losses stay as they are.
+#: Most learned words that are sent to all tasks; more are joined to the texts that lack them.
 WORDS = 50_000
 LOST = "\ufffd"
 STRETCH = re.compile(r"[^\x00-\x7f]+")
@@ -237,8 +237,8 @@ def twins(docs: DataFrame) -> DataFrame:
     return pairs.join(texts.withColumnRenamed("form", "meant").withColumnRenamed("sentence", "clean"), ["key", "meant"]).select("found", F.col("clean").alias("meant"))
 
 
-def learned(pairs: DataFrame) -> tuple[list[Chain], dict[tuple[str, str, str], str]]:
-    """The chains that explain SUPPORT different aligned pairs or more, best first; and {(letters before, stretch, letters after): what is meant} where bytes were lost."""
+def learned(pairs: DataFrame) -> tuple[list[Chain], DataFrame]:
+    """The chains that explain SUPPORT different aligned pairs or more, best first; and settled (before, f, after, m): letters before, stretch, letters after and what is meant, where bytes were lost."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,9 +261,22 @@ def learned(pairs: DataFrame) -> tuple[list[Chain], dict[tuple[str, str, str], s
     lost = F.col("f").contains(LOST)
     rows = found.where(~lost).select("f", "m").distinct().mapInArrow(chains, "chain string, n long")
     rows = rows.groupBy("chain").agg(F.sum("n").alias("n")).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "chain").collect()
-    words = found.where(lost & (F.length("before") + F.length("after") >= 2)).groupBy("before", "f", "after").agg(F.min("m").alias("m"), F.max("m").alias("other"), F.count("*").alias("n"))
-    words = words.where(F.col("m") == F.col("other")).orderBy(F.desc("n"), "before", "f", "after").limit(WORDS).collect()
-    return [tuple(tuple(s.split(">")) for s in r["chain"].split("|")) for r in rows], {(r["before"], r["f"], r["after"]): r["m"] for r in words}
+    words = found.where(lost & (F.length("before") + F.length("after") >= 2)).groupBy("before", "f", "after").agg(F.min("m").alias("m"), F.max("m").alias("other"))
+    words = settle(words.where(F.col("m") == F.col("other")).drop("other"), "words")
+    return [tuple(tuple(s.split(">")) for s in r["chain"].split("|")) for r in rows], words
+
+
+def words_of_texts(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """(h, words) of the different texts (column ``text``) that have learned words; h is the text's hash."""
+
+    def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {(h, *around(text, *m.span()), m[0]) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for m in STRETCH.finditer(text) if LOST in m[0]}
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((pa.int64(), pa.string(), pa.string(), pa.string()))], names=["h", "before", "after", "f"])
+
+    lacking = rows.where(F.col("text").contains(LOST)).select(F.xxhash64("text").alias("h"), "text")
+    each = lacking.mapInArrow(gaps, "h long, before string, after string, f string").distinct().join(words, ["before", "f", "after"])
+    return each.groupBy("h").agg(F.collect_list(F.struct("before", "f", "after", "m")).alias("words"))
 
 
 class Mender:
@@ -357,16 +370,27 @@ def mended(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(key, F.col(text).alias("text"))
     counts = pair_counts(rows)
     chains, words = learned(twins(rows))
-    shared = docs.sparkSession.sparkContext.broadcast((chains, counts, words))
+    few = words.limit(WORDS + 1).count() <= WORDS
+    known = {(r["before"], r["f"], r["after"]): r["m"] for r in words.collect()} if few else {}
+    shared = docs.sparkSession.sparkContext.broadcast((chains, counts, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mender = Mender(*shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                out = [mender.mend(t) for t in part.column(1).to_pylist()]
+                out = []
+                for i, t in enumerate(part.column(1).to_pylist()):
+                    if part.num_columns > 2:  # the text's own words
+                        mender.words = {(w["before"], w["f"], w["after"]): w["m"] for w in part.column(2)[i].as_py() or ()}
+                    out.append(mender.mend(t))
                 kinds = (pa.bool_(), pa.string(), pa.int64(), pa.int64())
                 columns = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[key, "garbled", "restored", "stretches_restored", "stretches_lost"])
 
-    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, garbled boolean, restored string, stretches_restored long, stretches_lost long")
+    schema = f"{key} {rows.schema[key].dataType.simpleString()}, garbled boolean, restored string, stretches_restored long, stretches_lost long"
+    if few:
+        return rows.mapInArrow(run, schema)
+    lacks = F.coalesce(F.col("text").contains(LOST), F.lit(False))
+    own = rows.where(lacks).withColumn("h", F.xxhash64("text")).join(words_of_texts(rows, words), "h", "left").select(key, "text", "words")
+    return rows.where(~lacks).mapInArrow(run, schema).unionByName(own.mapInArrow(run, schema))

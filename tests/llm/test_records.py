@@ -293,6 +293,20 @@ def test_lost_bytes_are_restored_by_words_learned_from_twins(spark):
     assert got[17]["restored"] == "Un côté, un autre côté; mais t\ufffdt ou tard." and (got[17]["stretches_restored"], got[17]["stretches_lost"]) == (1, 1)
 
 
+def test_more_learned_words_than_are_sent_to_all_tasks(spark, monkeypatch):
+    clean = ["Le côté A est très long.", "Das Dreieck ist gleichschenklig, natürlich.", "Ici, voilà une hauteur du triangle donné."]
+    hurt = [clean[0].replace("ô", M.LOST), clean[1].replace("ü", M.LOST * 2), clean[2].replace("à", M.LOST), clean[2].replace("é", M.LOST)]
+    rows = clean * 20 + hurt + [f"Un c{M.LOST}té; mais t{M.LOST}t ou tard.", hurt[0], None, ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    whole = sorted(M.mended(docs, "doc_id", "text").collect())
+    monkeypatch.setattr(M, "WORDS", 1)
+    got = sorted(M.mended(docs, "doc_id", "text").collect())
+    assert got == whole and len(got) == len(rows)
+    by = {x["doc_id"]: x["restored"] for x in got}
+    assert [by[60 + i] for i in range(4)] == [clean[0], clean[1], clean[2], clean[2]] and by[65] == clean[0]
+    assert by[64] == f"Un côté; mais t{M.LOST}t ou tard."
+
+
 def test_queries_run(spark, small):
     from stepquarry.llm import queries, sql
 
