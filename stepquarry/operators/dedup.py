@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stepquarry.functions.text import hashed
 from stepquarry.functions.words import command_heads, content_words, jaccard
 from stepquarry.operators import setsim as S
+from stepquarry.operators.nearest import nearest
 from stepquarry.plans.runtime import settle
 
 # What counts as a duplicate.
@@ -15,7 +16,8 @@ SURE, LIKELY, SAME_STEPS = 0.5, 0.4, 0.85
 
 
 #: Similarities down to which matches are looked for by prefixes, one after another; rows without a match so far go on.
-LEVELS = (0.4, 0.25)
+#: None: statements share so many common words that comparing all pairs by blocks costs less.
+LEVELS = ()
 
 
 def features(df: DataFrame, key: Column, statement: Column, steps: Column, source: str = "") -> DataFrame:
@@ -36,13 +38,14 @@ def _best(pairs: DataFrame, new: DataFrame, refs: DataFrame, least: float) -> Da
 def best_match(new: DataFrame, refs: DataFrame, levels: tuple[float, ...] = LEVELS) -> DataFrame:
     """(new_id, ref_id, source, words_j, heads_j): for each of ``new`` the first reference of greatest word similarity above 0.
 
-    Both are settled ``features``. Candidates come from prefix postings at one level
-    of similarity after another; only rows that have no match at a level go on to
-    the next, and at last to any reference with which they share a word. Whatever
-    the levels, the result is that of comparing all. Rows that share no word with
-    any reference have no row. heads_j is that reference's own, not the best.
+    Both are settled ``features``. Rows are compared with all references by blocks;
+    ``levels`` first finds matches from prefix postings, at one similarity after
+    another, and only rows without a match so far go on, which pays where words are
+    rare. Whatever the levels, the result is that of comparing all. Rows that share
+    no word with any reference have no row. heads_j is that reference's own, not the
+    best.
     """
-    order = S.token_order(refs.select("toks").unionByName(new.select("toks")), "toks")
+    order = S.token_order(refs.select("toks").unionByName(new.select("toks")), "toks") if levels else None
     out = None
     for level in levels:
         measure = S.Jaccard(level)
@@ -50,12 +53,7 @@ def best_match(new: DataFrame, refs: DataFrame, levels: tuple[float, ...] = LEVE
         found = settle(_best(S.met(x, y, S.places_allow(measure) & S.maps_allow(measure)), new, refs, level), "matches")
         out = found if out is None else out.unionByName(found)
         new = settle(new.join(found.select(F.col("new_id").alias("gid")), "gid", "left_anti"), "left")
-    each = lambda side, name: side.select(F.col("gid").alias(name), F.explode("toks").alias("t"))
-    shared = each(new, "a").join(each(refs, "b"), "t").groupBy("a", "b").agg(F.count("*").alias("common"))
-    sizes = lambda side, name: side.select(F.col("gid").alias(name), F.size("toks").alias(f"size_{name}"))
-    scored = shared.join(sizes(new, "a"), "a").join(sizes(refs, "b"), "b").withColumn("j", F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common")))
-    top = scored.groupBy("a").agg(F.max(F.struct("j", (-F.col("b")).alias("o"))).alias("m")).select("a", (-F.col("m.o")).alias("b"))
-    rest = _best(top, new, refs, 0.0)
+    rest = settle(_best(nearest(new, refs), new, refs, 0.0), "matches")
     return rest if out is None else out.unionByName(rest)
 
 

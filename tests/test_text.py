@@ -1,5 +1,7 @@
 import json
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from stepquarry.functions import replies as J
@@ -137,6 +139,43 @@ def test_best_match_at_any_similarity(spark):
     assert D.best_match(new.limit(0), refs).count() == 0 and D.best_match(new, refs.limit(0)).count() == 0
 
 
+def test_nearest_in_slices_with_copies_and_ties(spark):
+    from stepquarry.operators.nearest import nearest
+    from stepquarry.plans.runtime import settle
+
+    rng = np.random.default_rng(5)
+    word = lambda: int(rng.zipf(1.2)) % 5000 + 1
+    held = [(int(k), sorted({word() for _ in range(rng.integers(0, 30))})) for k in rng.permutation(900)]
+    held += [(1000 + n, held[n % 7][1]) for n in range(400)] + [(2000, list(range(1, 3000)))]
+    asked = [(n, sorted({word() for _ in range(rng.integers(0, 30))})) for n in range(300)] + [(300 + n, held[n][1]) for n in range(30)] + [(400, []), (401, [9999999]), (402, list(range(5, 2500)))]
+    make = lambda rows: settle(spark.createDataFrame(rows, "gid long, toks array<long>").repartition(3), "t")
+    want, sets = {}, [(k, set(t)) for k, t in held]
+    for a, t in asked:
+        j, b = max((len(s & set(t)) / max(1, len(s | set(t))), -k) for k, s in sets)
+        if j > 0:
+            want[a] = -b
+    for tokens in (4_000_000, 2000):
+        rows = nearest(make(asked), make(held), tokens).collect()
+        assert len(rows) == len(want) and {r["a"]: r["b"] for r in rows} == want
+
+
+def test_best_match_among_common_words(spark):
+    from stepquarry.plans.runtime import settle
+
+    def rows(n, salt, key):
+        texts = spark.range(n).select((F.col("id") + key).alias("k"), F.expr(f"transform(filter(sequence(1, 120), i -> xxhash64(id, i, {salt}) % 3 = 0), i -> concat('w', char(97 + i % 26), char(97 + i div 26)))").alias("w"))
+        return settle(D.features(texts.withColumn("c", F.array().cast(f"array<{STEP}>")), F.col("k"), F.array_join("w", " "), F.col("c"), "old"), "common")
+
+    new, refs = rows(5000, 1, 0), rows(10_000, 2, 50_000)
+    began = time.time()
+    got = {r["new_id"]: (r["ref_id"], r["words_j"]) for r in D.best_match(new, refs).collect()}
+    assert time.time() - began < 60 and len(got) == 5000  # a row for each pair and word that it shares would be 700 million
+    held = [(r["gid"], set(r["words"])) for r in refs.orderBy("gid").collect()]
+    for x in new.where("gid % 500 = 0").collect():
+        best = max(held, key=lambda y: (len(y[1] & set(x["words"])) / len(y[1] | set(x["words"])), -y[0]))
+        assert got[x["gid"]] == (best[0], len(best[1] & set(x["words"])) / len(best[1] | set(x["words"])))
+
+
 def test_chat_lengths(spark):
     rows = [(1, [("system", "abc"), ("assistant", "é😀")]), (2, None), (3, []), (4, [("user", None)])]
     got = {r["k"]: (r["full"], r["completion"]) for r in K.chat_lengths(spark.createDataFrame(rows, "k long, messages array<struct<role:string,content:string>>"), "k").collect()}
