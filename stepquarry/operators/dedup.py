@@ -35,25 +35,25 @@ def _best(pairs: DataFrame, new: DataFrame, refs: DataFrame, least: float) -> Da
     return best.select(F.col("a").alias("new_id"), (-F.col("m.o")).alias("ref_id"), "m.source", "m.words_j", "m.heads_j")
 
 
-def best_match(new: DataFrame, refs: DataFrame, levels: tuple[float, ...] = LEVELS) -> DataFrame:
+def best_match(new: DataFrame, refs: DataFrame, levels: tuple[float, ...] = LEVELS, least: float = 0.0) -> DataFrame:
     """(new_id, ref_id, source, words_j, heads_j): for each of ``new`` the first reference of greatest word similarity above 0.
 
     Both are settled ``features``. Rows are compared with all references by blocks;
     ``levels`` first finds matches from prefix postings, at one similarity after
     another, and only rows without a match so far go on, which pays where words are
     rare. Whatever the levels, the result is that of comparing all. Rows that share
-    no word with any reference have no row. heads_j is that reference's own, not the
+    no word with any reference, or whose best is below ``least``, have no row. heads_j is that reference's own, not the
     best.
     """
     order = S.token_order(refs.select("toks").unionByName(new.select("toks")), "toks") if levels else None
     out = None
-    for level in levels:
+    for level in (x for x in levels if x >= least):
         measure = S.Jaccard(level)
         x, y = (S.postings(S.prefixes(side, order, measure)) for side in (new, refs))
         found = settle(_best(S.met(x, y, S.places_allow(measure) & S.maps_allow(measure)), new, refs, level), "matches")
         out = found if out is None else out.unionByName(found)
         new = settle(new.join(found.select(F.col("new_id").alias("gid")), "gid", "left_anti"), "left")
-    rest = settle(_best(nearest(new, refs), new, refs, 0.0), "matches")
+    rest = settle(_best(nearest(new, refs, least=least), new, refs, least), "matches")
     return rest if out is None else out.unionByName(rest)
 
 

@@ -70,14 +70,14 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY new_id ORDER BY w
 """
 
 
-def _matches(spark: SparkSession, d: str) -> DataFrame:
+def _matches(spark: SparkSession, d: str, least: float = 0.0) -> DataFrame:
     parts = [("fewshot", table(spark, d, "fewshot_problems"), "id"), ("accepted", table(spark, d, "problems"), "problem_key")]
     text, steps = F.col("problem_statement"), F.col("construction_steps")
     refs = [D.features(t, F.col(k), text, steps, name) for name, t, k in parts]
     refs = settle(refs[0].unionByName(refs[1]), "refs")
     # the row with id 1 is a reference problem itself and is not looked at
     rows = table(spark, d, "new_geometry_problems").where("NOT id <=> 1")
-    return D.best_match(settle(D.features(rows, F.col("new_id"), text, steps, "new"), "new"), refs)
+    return D.best_match(settle(D.features(rows, F.col("new_id"), text, steps, "new"), "new"), refs, least=least)
 
 
 @query(_MATCH + "SELECT new_id, ref_id, source, words_j, heads_j FROM b")
@@ -89,7 +89,7 @@ def dup_best_match(spark: SparkSession, d: str) -> DataFrame:
 def dup_flagged(spark: SparkSession, d: str) -> DataFrame:
     """The likely duplicates, most similar first by two places, else in the order of the rows."""
     shown = table(spark, d, "new_geometry_problems").select("new_id", F.left("problem_statement", F.lit(70)).alias("shown"))
-    return D.flagged(_matches(spark, d)).join(shown, "new_id").orderBy(F.desc(F.bround("words_j", 2)), "new_id")
+    return D.flagged(_matches(spark, d, D.LIKELY)).join(shown, "new_id").orderBy(F.desc(F.bround("words_j", 2)), "new_id")
 
 
 _NEW = """

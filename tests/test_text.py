@@ -159,6 +159,19 @@ def test_nearest_in_slices_with_copies_and_ties(spark):
         assert len(rows) == len(want) and {r["a"]: r["b"] for r in rows} == want
 
 
+def test_best_match_of_a_least_similarity(spark):
+    from stepquarry.plans.runtime import settle
+
+    texts = lambda rows, key: settle(D.features(spark.createDataFrame([(key + n, t) for n, t in enumerate(rows)], "k long, s string").withColumn("c", F.array().cast(f"array<{STEP}>")), F.col("k"), F.col("s"), F.col("c"), "old"), "least")
+    refs = texts(["alpha beta gamma delta epsilon", "zeta eta theta", "alpha beta"], 10)
+    new = texts(["alpha beta", "gamma delta", "zeta eta iota kappa lambda", "beta zeta mu nu", "zeta eta theta", None], 0)
+    every = {tuple(r) for r in D.best_match(new, refs).collect()}
+    assert {r[0]: r[3] for r in every} == {0: 1.0, 1: 0.4, 2: 1 / 3, 3: 0.2, 4: 1.0}
+    for levels in ((), (0.4, 0.25), (0.9, 0.2)):
+        got = {tuple(r) for r in D.best_match(new, refs, levels, least=D.LIKELY).collect()}
+        assert got == {r for r in every if r[3] >= D.LIKELY} and len(got) == 3  # 2 of 5 is 0.4 and stays
+
+
 def test_best_match_among_common_words(spark):
     from stepquarry.plans.runtime import settle
 
